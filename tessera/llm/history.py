@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.runtime import table, written
-from tessera.llm.wordtable import common_words, flat, mix, verified, word_table
+from tessera.llm.wordtable import common_words, distinct_texts, flat, mix, order_key, verified, word_table
 
 RATE = 0.15
 CLASSES = 8
 FIRST = 4
 
 
-def pivot_rows(words: DataFrame, common: np.ndarray, rate: float = RATE) -> DataFrame:
+def pivot_rows(words: DataFrame, common: np.ndarray, rate: float = RATE, most: int = 1 << 30) -> DataFrame:
     """Rows (key, pos, id, batch, n, wide) of the pivot-distance table for a word table with id, batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,7 +54,7 @@ def pivot_rows(words: DataFrame, common: np.ndarray, rate: float = RATE) -> Data
             start = np.searchsorted(r, np.arange(len(n)))
             pos = np.arange(len(r)) - start[r]
             edits = np.floor(rate * np.floor(n / (1 - rate)) + 1e-9).astype(np.int64)
-            take = pos < 2 * edits[r] + 1
+            take = pos < np.minimum(2 * edits[r] + 1, most)
             r, k, pos = r[take], k[take], pos[take]
             yield pd.DataFrame({"key": k.view(np.int64), "pos": pos.astype("int32"), "id": pdf["id"].to_numpy()[r], "batch": pdf["batch"].to_numpy()[r], "n": n[r], "wide": wide[r]})
 
@@ -68,33 +68,56 @@ def _near(a: str, b: str, rate: float) -> str:
     return f"({b}.batch < {a}.batch or ({b}.batch = {a}.batch and {b}.id < {a}.id)) and abs({a}.n - {b}.n) <= {rate} * {longer} + 1e-9 and {gap} <= 2 * {rate} * {longer} + 1e-9"
 
 
-def repeats(words: DataFrame, fresh_from: int = 0, rate: float = RATE) -> DataFrame:
-    """Of a word table with id and batch (history below fresh_from), the rows (id, earlier, distance) of fresh batches that
-    repeat an earlier row by (batch, id); earlier is one such row, the first for exact copies. Rows without words are no
-    cases. Any number of copies is settled against the first of them, never against each other."""
-    some = words.where("n > 0")
-    firsts = some.groupBy("exact").agg(F.min(F.struct("batch", "id")).alias("f"))
-    exact = some.where(F.col("batch") >= fresh_from).select("id", "exact").join(firsts, "exact").where("id <> f.id").select("id", F.col("f.id").alias("earlier"), F.lit(0).alias("distance"))
-    unique = written(some.join(firsts.select(F.col("f.id").alias("id")), "id", "left_semi").select("id", "batch", "n", "seq"), "unique")
+def repeats(history: DataFrame, fresh: DataFrame, rate: float = RATE) -> DataFrame:
+    """Of word tables with id and batch (every history batch below every fresh one), the rows (id, earlier, distance) of
+    fresh that repeat an earlier row by (batch, id): the first of its exact copies, or a near copy. Rows without words are
+    no cases. Any number of copies is settled against one row, never against each other."""
+    fresh = written(fresh, "fresh")
+    every = history.unionByName(fresh)
+    start = F.min(order_key("batch", "id"))
+    unique = distinct_texts(every, start.alias("ord")).withColumn("id", F.expr("cast(ord - floor(ord / 20000000000000000000BD) * 20000000000000000000BD as bigint)")).withColumn("batch", F.expr("cast(floor(ord / 20000000000000000000BD) as int)"))
+    unique = written(unique.select("exact", "id", "batch", "n", "seq"), "unique")
+    exact = fresh.where("n > 0").select("id", "exact").join(unique.select("exact", F.col("id").alias("earlier")), "exact").where("id <> earlier").select("id", "earlier", F.lit(0).alias("distance"))
     common, _ = common_words(unique)
-    rows = written(pivot_rows(unique, common, rate), "pivots")
-    fresh = rows.where(F.col("batch") >= fresh_from)
-    head = rows.where(F.col("pos") < FIRST)
-    least = head.groupBy("key").agg(F.min(F.struct("batch", "id", "n", "wide")).alias("m")).select("key", "m.*")
-    quick = fresh.where(F.col("pos") < FIRST).alias("x").join(least.alias("y"), "key").where(_near("x", "y", rate)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    settled = written(verified(quick, unique, rate).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("m")).select("a", "m.b", "m.distance"), "settled")
-    rest = fresh.join(settled.select(F.col("a").alias("id")), "id", "left_anti")
+    first_fresh = fresh.agg(F.min("batch")).first()[0]
+    if first_fresh is None:
+        return exact
+    new, old = unique.where(F.col("batch") >= first_fresh), unique.where(F.col("batch") < first_fresh)
+    asked = written(pivot_rows(new, common, rate), "asked_ranges")
+    # some earlier row of each of a text's first ranges: of history any, else the first of the new rows
+    held = pivot_rows(old, common, rate, FIRST).groupBy("key").agg(F.min("id").alias("b"))
+    held_new = asked.where(F.col("pos") < FIRST).groupBy("key").agg(F.min(order_key("batch", "id")).alias("o")).select("key", F.expr("cast(o - floor(o / 20000000000000000000BD) * 20000000000000000000BD as bigint)").alias("b"), "o")
+    head = asked.where(F.col("pos") < FIRST)
+    quick = head.join(held, "key").select(F.col("id").alias("a"), "b").unionAll(head.join(held_new, "key").where(F.col("o") < order_key("batch", "id")).select(F.col("id").alias("a"), "b")).distinct()
+    best = lambda v: v.groupBy("a").agg(F.min(F.expr("cast(distance as decimal(38,0)) * 20000000000000000000BD + b")).alias("m")).select(F.col("a").alias("id"), F.expr("cast(m - floor(m / 20000000000000000000BD) * 20000000000000000000BD as bigint)").alias("earlier"), F.expr("cast(floor(m / 20000000000000000000BD) as int)").alias("distance"))
+    settled = written(best(verified(written(quick, "quick"), unique, rate)), "settled")
+    rest = asked.join(settled.select("id"), "id", "left_anti")
+    rows = pivot_rows(old, common, rate).unionByName(asked)
     full = rest.alias("x").join(rows.alias("y"), "key").where(_near("x", "y", rate)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    late = verified(full, unique, rate).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("m")).select("a", "m.b", "m.distance")
-    near = settled.unionByName(late).select(F.col("a").alias("id"), F.col("b").alias("earlier"), "distance")
-    return exact.unionByName(near)
+    late = best(verified(written(full, "full"), unique, rate))
+    return exact.unionByName(settled).unionByName(late)
 
 
-def batches_table(spark, sf_dir: str) -> DataFrame:
-    history = table(spark, sf_dir, "corpus_rows").select(F.col("row_id").alias("id"), F.lit(-1).alias("batch"), "text")
-    new = table(spark, sf_dir, "incoming_rows").select(F.col("row_id").alias("id"), F.coalesce("batch_no", F.lit(0)).alias("batch"), "text")
-    return written(word_table(history.unionByName(new), "text", ["id", "batch"]), "words")
+def word_rows(rows: DataFrame) -> DataFrame:
+    return word_table(rows, "text", ["id", "batch"])
+
+
+class History:
+    """The accepted history as a folder of word rows by batch: the pivot-distance table's source, appended to, not redone."""
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path
+
+    def append(self, rows: DataFrame) -> None:
+        """rows (id, batch, text)"""
+        word_rows(rows).write.mode("append").parquet(self.path)
+
+    def check(self, rows: DataFrame, rate: float = RATE) -> DataFrame:
+        """The repeats among rows (id, batch, text), of history or of each other; batches above those held."""
+        return repeats(self.spark.read.parquet(self.path), word_rows(rows), rate)
 
 
 def p5_found(spark, sf_dir: str) -> DataFrame:
-    return repeats(batches_table(spark, sf_dir)).select(F.col("id").alias("row_id"))
+    history = table(spark, sf_dir, "corpus_rows").select(F.col("row_id").alias("id"), F.lit(0).alias("batch"), "text")
+    fresh = table(spark, sf_dir, "incoming_rows").select(F.col("row_id").alias("id"), (F.coalesce("batch_no", F.lit(0)) + 1).alias("batch"), "text")
+    return repeats(word_rows(history), word_rows(fresh)).select(F.col("id").alias("row_id"))

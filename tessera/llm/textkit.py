@@ -10,10 +10,10 @@ CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁ", "A
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονα", "ABEZHIKMNOPTYXova", strict=True))
 LOOKALIKES = CYRILLIC | GREEK
 # Characters without width or ink. Joiners (200C, 200D) shape Indic conjuncts and are handled apart.
-INVISIBLE = "­͏؜᠎​‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿"
-JOINERS = "‌‍"
+INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufeff"
+JOINERS = "\u200c\u200d"
 # Single blanks other than the space itself; a line break or tab is seen.
-BLANKS = "               　"
+BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 
 SCRIPT_OF_LANGUAGE = {"mni": ("meitei", "bengali", "latin"), "bn": ("bengali",), "hi": ("devanagari",), "en": ("latin",)}
 LANGUAGES = ("mni", "bn", "en", "hi")

@@ -8,10 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.runtime import written
 from tessera.llm.textkit import words
 
 MAX_CACHE = 2_000_000
@@ -109,9 +110,23 @@ def word_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return min(int(row[-1]), far)
 
 
+def order_key(batch: str, id_: str) -> Column:
+    """(batch, id) as one number that sorts alike, so that a least one is found by hash aggregation."""
+    return F.expr(f"cast({batch} as decimal(38,0)) * 20000000000000000000BD + cast({id_} as decimal(38,0))")
+
+
+def distinct_texts(words: DataFrame, *more: Column) -> DataFrame:
+    """One row (exact, n, seq, more...) for each distinct text of a word table, however often it is repeated: copies are
+    put together before the shuffle. Texts without a word are left out."""
+    return words.where("n > 0").groupBy("exact").agg(F.first("n").alias("n"), F.first("seq").alias("seq"), *more)
+
+
 def verified(pairs: DataFrame, table: DataFrame, rate: float) -> DataFrame:
-    """Pairs (a, b) of ids whose word sequences are at most floor(rate * longer length) apart. Adds distance."""
-    side = lambda x: table.select(F.col("id").alias(x), F.col("seq").alias(f"seq_{x}"))
+    """Of written pairs (a, b), those whose word sequences in table (id, seq) are at most floor(rate * longer length)
+    apart, with that distance. The table moves once, joined with the ids asked for."""
+    asked = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    need = written(table.select("id", "seq").join(asked.hint("shuffle_hash"), "id"), "asked")
+    side = lambda x: need.select(F.col("id").alias(x), F.col("seq").alias(f"seq_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,5 +142,3 @@ def verified(pairs: DataFrame, table: DataFrame, rate: float) -> DataFrame:
             yield out[out["distance"] >= 0]
 
     return both.mapInPandas(run, "a long, b long, distance int")
-
-
