@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import history, leakage, lookalike, overlap
+from tessera.llm import history, language, leakage, lookalike, overlap
 
-QUERIES = {"p4_found": lookalike.p4_found, "p4_form": lookalike.p4_form, "p5_found": history.p5_found, "p6_found": overlap.p6_found, "p6_report": overlap.p6_report, "p9_found": leakage.p9_found, "p9_report": leakage.p9_report}
+QUERIES = {"p3_found": language.p3_found, "p3_segments": language.p3_segments, "p4_found": lookalike.p4_found, "p4_form": lookalike.p4_form, "p5_found": history.p5_found, "p6_found": overlap.p6_found, "p6_report": overlap.p6_report, "p9_found": leakage.p9_found, "p9_report": leakage.p9_report}
 SQL: dict[str, str] = {}
