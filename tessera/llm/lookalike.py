@@ -12,7 +12,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.runtime import table, written
@@ -22,9 +22,9 @@ LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
 WIDE = {0xFF01 + i: chr(0x21 + i) for i in range(94)}
 RULES = WIDE | {ord(k): v for k, v in LIGATURES.items()} | dict.fromkeys(map(ord, INVISIBLE), "") | dict.fromkeys(map(ord, BLANKS), " ")
 ALIKE = str.maketrans(LOOKALIKES)
-# Rows with none of these characters are their own form, but for the Indic compositions below.
-ODD = "[" + "".join(sorted({chr(c) for c in RULES} | set(LOOKALIKES) | set(JOINERS))) + "\u0300-\u036f]"
-COMPOSED = "[\u0929\u0931\u0934\u0958-\u095f\u09d7\u09dc\u09dd\u09df\u0300-\u036f]|\u09c7[\u09be\u09d7]"
+# Letters and signs that no rule touches: a text of these alone, without a split vowel sign, is its own form.
+SETTLED = "[^\u0009-\u007e\uaae0-\uabff\u0980-\u09d6\u09d8-\u09db\u09de\u09e0-\u09ff\u0900-\u0928\u092a-\u0930\u0932\u0933\u0935-\u0957\u0960-\u097f\u00c0-\u024f\u2014\u201c\u201d]"
+SPLIT_VOWEL = "\u09c7\u09be"
 TOKEN = re.compile(r"[^\W\d_]+")
 BOUND = 200_000  # words looked up by broadcast; more are joined by shuffle
 _JOINER = re.compile("(?<![\u094d\u09cd\uabed])[\u200c\u200d]")
@@ -51,47 +51,52 @@ def doubtful(text: str) -> list[tuple[str, str]]:
 
 
 def repair(text: str, known: set[str]) -> str:
-    """A plain text with its doubtful tokens replaced where the result is known."""
-    return TOKEN.sub(lambda m: f if (f := m[0].translate(ALIKE)) != m[0] and f in known else m[0], text)
+    """A plain text with its doubtful tokens replaced where the result, in lower case, is known."""
+    return TOKEN.sub(lambda m: f if (f := m[0].translate(ALIKE)) != m[0] and f.lower() in known else m[0], text)
 
 
-def one_form(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text, form): each text of df and its consistent form. Null stays null. ids must be unique."""
-    base = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def odd(text: Column) -> Column:
+    """Whether a text holds a character that a rule may change."""
+    return text.rlike(SETTLED) | text.contains(SPLIT_VOWEL)
 
-    @F.pandas_udf("string")
-    def plainly(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else plain(t))
 
-    # the Python step sees only texts with a character that a rule names: others are passed as null
-    ruled = base.withColumn("form", F.coalesce(plainly(F.when(F.col("text").rlike(ODD + "|" + COMPOSED), F.col("text"))), F.col("text")))
-    alike = "[" + "".join(LOOKALIKES) + "]"
-    some = ruled.where(F.col("form").rlike(alike)).select("doc_id", "form")
+def mended(base: DataFrame) -> DataFrame:
+    """(doc_id, own, form) of the rows (doc_id, text) that hold a character some rule may change; own: hash of the text."""
+    kind = base.schema["doc_id"].dataType.simpleString()
 
-    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(d, a, b) for d, t in zip(pdf["doc_id"], pdf["form"], strict=True) for a, b in doubtful(t)]
-            yield pd.DataFrame(rows, columns=["doc_id", "token", "word"])
-
-    kind = base.schema["doc_id"].dataType.simpleString()
-    cases = written(some.mapInPandas(tokens, f"doc_id {kind}, token string, word string"), "cases")
-    wanted = cases.select(F.lower("word").alias("word")).distinct()
-    # the corpus vocabulary, as far as asked for: words of Latin letters that stand somewhere in proper letters
-    vocabulary = ruled.where(F.col("form").rlike("[A-Za-z]")).select(F.explode(F.array_distinct(F.split(F.lower("form"), "[^\\p{L}\\p{M}]+"))).alias("word"))
-    real = vocabulary.join(F.broadcast(wanted) if wanted.limit(BOUND + 1).count() <= BOUND else wanted, "word", "left_semi").distinct()
-    known = cases.withColumn("low", F.lower("word")).join(real.withColumnRenamed("word", "low"), "low").groupBy("doc_id").agg(F.collect_set("word").alias("known"))
+            forms = pdf["text"].map(plain)
+            pairs = forms.map(doubtful)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "own": pdf["own"], "form": forms, "words": pairs.map(lambda p: sorted({b.lower() for _, b in p}))})
+
+    rows = written(base.where(odd(F.col("text"))).withColumn("own", F.xxhash64("text")).mapInPandas(read, f"doc_id {kind}, own long, form string, words array<string>"), "odd")
+    cases = rows.where(F.size("words") > 0).select("doc_id", F.explode("words").alias("word"))
+    wanted = cases.select("word").distinct()
+    # the corpus vocabulary, as far as asked for: words that stand somewhere in Latin letters alone
+    latin = base.where(F.col("text").rlike("[A-Za-z]")).select(F.explode(F.split(F.lower("text"), r"[^a-z\u00e0-\u024f]+")).alias("word"))
+    real = latin.join(F.broadcast(wanted) if wanted.limit(BOUND + 1).count() <= BOUND else wanted, "word", "left_semi").distinct()
+    known = cases.join(real, "word").groupBy("doc_id").agg(F.collect_set("word").alias("known"))
 
     @F.pandas_udf("string")
-    def mended(t: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else repair(x, set(y)) for x, y in zip(t, k, strict=True)])
+    def mend(t: pd.Series, k: pd.Series) -> pd.Series:
+        return pd.Series([repair(x, set(y)) for x, y in zip(t, k, strict=True)])
 
-    fixed = some.join(known, "doc_id").select("doc_id", mended("form", "known").alias("fixed"))
-    return ruled.join(fixed, "doc_id", "left").select("doc_id", "text", F.coalesce("fixed", "form").alias("form"))
+    fixed = rows.where(F.size("words") > 0).join(known, "doc_id").select("doc_id", "own", mend("form", "known").alias("form"))
+    return rows.join(known, "doc_id", "left_anti").select("doc_id", "own", "form").unionByName(fixed)
+
+
+def one_form(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, own, form): hash and consistent form of each text of df. Null texts stay null; ids must be unique."""
+    base = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    same = base.where(~F.coalesce(odd(F.col("text")), F.lit(False)))
+    return same.select("doc_id", F.xxhash64("text").alias("own"), F.col("text").alias("form")).unionByName(mended(base))
 
 
 def p4_pairs(forms: DataFrame) -> DataFrame:
     """Pairs of ids, smaller first, of one form and different text. Forms without a letter are no cases."""
-    some = forms.where(F.col("form").rlike("\\p{L}")).select("doc_id", F.sha2(F.encode("form", "UTF-8"), 256).alias("key"), F.sha2(F.encode("text", "UTF-8"), 256).alias("own"))
+    some = forms.where(F.col("form").rlike("[a-zA-Z\\p{L}]")).select("doc_id", F.sha2(F.encode("form", "UTF-8"), 256).alias("key"), "own")
+    some = written(some, "forms")
     several = some.groupBy("key").agg(F.min("own").alias("x"), F.max("own").alias("y")).where("x <> y").select("key")
     rows = written(some.join(several, "key", "left_semi"), "same_look")
     a, b = rows.alias("a"), rows.alias("b")
@@ -104,5 +109,4 @@ def p4_found(spark, sf_dir: str) -> DataFrame:
 
 def p4_form(spark, sf_dir: str) -> DataFrame:
     """Every document in its one form, and whether that differs from the text; null texts stay null."""
-    return one_form(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "form", (F.col("form") != F.col("text")).alias("changed"))
-
+    return one_form(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "form", (F.xxhash64("form") != F.col("own")).alias("changed"))

@@ -69,10 +69,11 @@ def script_of(ch: str) -> str | None:
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the stretches between sentence ends and line breaks; blank ones left out."""
+    """(start, end) of the stretches between sentence ends and line breaks; blank ones left out. The number of a list item
+    is no sentence of its own."""
     out, at = [], 0
     for m in _CUT.finditer(text):
-        if m.end() > at and text[at : m.end()].strip():
+        if m.end() > at and (own := text[at : m.end()].strip()) and not (len(own) < 5 and own[-1] == "." and own[:-1].isdigit()):
             out.append((at, m.end()))
             at = m.end()
     if text[at:].strip():
