@@ -65,52 +65,51 @@ class Crf:
         return out
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis=axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 def fit(sequences: list[tuple[list[list[int]], list[int]]], labels: list[str], size: int, rounds: int = 60, rate: float = 0.15, decay: float = 2e-3) -> Crf:
     """Maximum likelihood with weight decay, all sequences in each round, Adam steps; no chance involved."""
-    sequences = [s for s in sequences if s[0]]
+    sequences = sorted((s for s in sequences if s[0]), key=lambda s: -len(s[0]))
     L = len(labels)
-    T = max(len(f) for f, _ in sequences)
     S = len(sequences)
+    length = np.array([len(f) for f, _ in sequences])
+    T, total = int(length[0]), int(length.sum())
+    live = np.searchsorted(-length, -np.arange(1, T + 1), side="right")
+    begin = np.concatenate([[0], np.cumsum(live)])  # positions lie by time step: those of step t from begin[t] on
     wide = max(len(p) for f, _ in sequences for p in f)
-    feats = np.zeros((S, T, wide), np.int64)
-    gold = np.zeros((S, T), np.int64)
-    mask = np.zeros((S, T), bool)
+    feats = np.zeros((total, wide), np.int64)
+    gold = np.zeros(total, np.int64)
     for s, (f, y) in enumerate(sequences):
         for t, p in enumerate(f):
-            feats[s, t, : len(p)] = p
-        gold[s, : len(y)] = y
-        mask[s, : len(y)] = True
+            feats[begin[t] + s, : len(p)] = p
+            gold[begin[t] + s] = y[t]
     used, index = np.unique(feats, return_inverse=True)  # only features seen get weights while fitting
     index = index.reshape(feats.shape)
     w = [np.zeros((len(used), L)), np.zeros((L, L)), np.zeros(L)]
     m, q = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w]
-    onehot = np.eye(L)[gold] * mask[:, :, None]
-    pairs = np.einsum("sti,stj->ij", onehot[:, :-1], onehot[:, 1:])
-    begins = onehot[:, 0].sum(axis=0)
-    end = mask.sum(axis=1) - 1
+    onehot = np.eye(L)[gold]
+    pairs = sum((onehot[begin[t - 1] : begin[t - 1] + live[t]].T @ onehot[begin[t] : begin[t + 1]] for t in range(1, T)), np.zeros((L, L)))
+    begins = onehot[:S].sum(axis=0)
+    spread = index.ravel()
     for step in range(1, rounds + 1):
-        u = w[0][index].sum(axis=2)
-        a = np.zeros((S, T, L))
-        a[:, 0] = w[2] + u[:, 0]
-        for t in range(1, T):
-            a[:, t] = np.where(mask[:, t, None], _lse(a[:, t - 1, :, None] + w[1][None], 1) + u[:, t], a[:, t - 1])
-        z = _lse(a[np.arange(S), end], 1)
-        b = np.zeros((S, T, L))
+        u = w[0][index].sum(axis=1)
+        e = np.exp(w[1])
+        # scaled forward and backward passes
+        a, b, scale = np.zeros((total, L)), np.ones((total, L)), np.zeros(total)
+        x = np.exp(u - u.max(axis=1, keepdims=True))
+        for t in range(T):
+            at = slice(begin[t], begin[t + 1])
+            v = np.exp(w[2]) * x[at] if t == 0 else (a[begin[t - 1] : begin[t - 1] + live[t]] @ e) * x[at]
+            scale[at] = v.sum(axis=1)
+            a[at] = v / scale[at][:, None]
         expect = np.zeros((L, L))
         for t in range(T - 2, -1, -1):
-            nxt = u[:, t + 1] + b[:, t + 1]
-            b[:, t] = np.where(mask[:, t + 1, None], _lse(w[1][None] + nxt[:, None, :], 2), 0)
-            p = np.exp(a[:, t, :, None] + w[1][None] + nxt[:, None, :] - z[:, None, None])
-            expect += (p * mask[:, t + 1, None, None]).sum(axis=0)
-        post = np.exp(a + b - z[:, None, None]) * mask[:, :, None]
-        delta = onehot - post
-        g0 = np.stack([np.bincount(index.ravel(), np.repeat(delta[:, :, k].ravel(), wide), minlength=len(used)) for k in range(L)], axis=1)
-        grads = [g0, pairs - expect, begins - post[:, 0].sum(axis=0)]
+            now, nxt = slice(begin[t], begin[t] + live[t + 1]), slice(begin[t + 1], begin[t + 2])
+            r = x[nxt] * b[nxt] / scale[nxt][:, None]
+            b[now] = r @ e.T
+            expect += e * (a[now].T @ r)
+        post = a * b
+        delta = onehot - post / post.sum(axis=1, keepdims=True)
+        g0 = np.stack([np.bincount(spread, np.repeat(delta[:, k], wide), minlength=len(used)) for k in range(L)], axis=1)
+        grads = [g0, pairs - expect, begins - post[:S].sum(axis=0)]
         for i, g in enumerate(grads):
             g = g / S - decay * w[i] / 10
             m[i] = 0.9 * m[i] + 0.1 * g
