@@ -3,7 +3,7 @@
 Metric: Levenshtein distance on comparison words; two texts are nearly the same within RATE of the longer one. The bag
 distance (multiset difference of words) is a metric too and at most twice that. Two kinds of fixed pivots:
 
-* eight wide pivots: the words of one hash class each. d(x, P_j) differs from d(y, P_j) by at most d(x, y), and over the
+* sixteen wide pivots: the words of one hash class each. d(x, P_j) differs from d(y, P_j) by at most d(x, y), and over the
   disjoint classes these bounds add up, so a pair is pruned if they exceed twice the allowed edits;
 * narrow pivots: one word pair each. A text lies nearer to those it holds. Two texts within L edits hold all but 2 L of
   each other's, so the first 2 L + 1 of either, in one fixed order, have one in common: these are its table rows, by whose
@@ -23,10 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.runtime import table, written
-from tessera.llm.wordtable import common_words, distinct_texts, flat, mix, order_key, verified, word_table
+from tessera.llm.wordtable import common_words, distinct_texts, flat, mix, order_key, verified, wide_pivots, within, word_table
 
 RATE = 0.15
-CLASSES = 8
 FIRST = 4
 
 
@@ -39,8 +38,7 @@ def pivot_rows(words: DataFrame, common: np.ndarray, rate: float = RATE, most: i
             if not len(values):
                 continue
             n = pdf["n"].to_numpy()
-            counts = np.bincount(row * CLASSES + (mix(values) % np.uint64(CLASSES)).astype(np.int64), minlength=len(n) * CLASSES).reshape(-1, CLASSES)
-            wide = (np.minimum(counts, 127).astype(np.uint64) << (np.arange(CLASSES, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64).view(np.int64)
+            wide = wide_pivots(values, row, len(n))
             at = np.minimum(np.searchsorted(common, values), max(0, len(common) - 1))
             often = (common[at] == values) if len(common) else np.zeros(len(values), bool)
             first = np.concatenate([[True], row[1:] != row[:-1]])
@@ -63,9 +61,7 @@ def pivot_rows(words: DataFrame, common: np.ndarray, rate: float = RATE, most: i
 
 def _near(a: str, b: str, rate: float) -> str:
     """Triangle inequality on lengths and wide pivots, and b earlier than a."""
-    longer = f"greatest({a}.n, {b}.n)"
-    gap = " + ".join(f"abs((shiftright({a}.wide, {8 * j}) & 255) - (shiftright({b}.wide, {8 * j}) & 255))" for j in range(CLASSES))
-    return f"({b}.batch < {a}.batch or ({b}.batch = {a}.batch and {b}.id < {a}.id)) and abs({a}.n - {b}.n) <= {rate} * {longer} + 1e-9 and {gap} <= 2 * {rate} * {longer} + 1e-9"
+    return f"({b}.batch < {a}.batch or ({b}.batch = {a}.batch and {b}.id < {a}.id)) and {within(a, b, rate)}"
 
 
 def repeats(history: DataFrame, fresh: DataFrame, rate: float = RATE) -> DataFrame:

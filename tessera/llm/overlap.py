@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.runtime import table, written
-from tessera.llm.wordtable import common_words, distinct_texts, flat, mix, verified, word_table
+from tessera.llm.wordtable import common_words, distinct_texts, flat, mix, verified, wide_pivots, within, word_table
 
 K, WINDOW = 4, 3
 RATE = 0.15
@@ -74,9 +74,10 @@ def fingerprints(words: DataFrame, common: np.ndarray, often: np.ndarray) -> Dat
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             r, p, f = winnow(pdf["seq"], common, often)
-            yield pd.DataFrame({"print": f, "id": pdf["id"].to_numpy()[r], "pos": p.astype("int32"), "n": pdf["n"].to_numpy()[r]})
+            wide = wide_pivots(*flat(pdf["seq"]), len(pdf))
+            yield pd.DataFrame({"print": f, "id": pdf["id"].to_numpy()[r], "pos": p.astype("int32"), "n": pdf["n"].to_numpy()[r], "wide": wide[r]})
 
-    return words.select("id", "n", "seq").mapInPandas(run, "print long, id long, pos int, n int")
+    return words.select("id", "n", "seq").mapInPandas(run, "print long, id long, pos int, n int, wide long")
 
 
 def chain(pa: np.ndarray, pb: np.ndarray) -> int:
@@ -90,9 +91,9 @@ def chain(pa: np.ndarray, pb: np.ndarray) -> int:
 
 def candidates(left: DataFrame, right: DataFrame, rate: float = RATE) -> DataFrame:
     """Pairs (a, b) of different ids with their seeds (place in a, place in b): fingerprints in common at places that
-    differ by no more than the edits allowed, beyond which no aligned word lies."""
+    differ by no more than the edits allowed, beyond which no aligned word lies, of texts whose word counts allow it."""
     longer = "greatest(x.n, y.n)"
-    met = left.alias("x").join(right.alias("y"), "print").where(f"x.id <> y.id and abs(x.n - y.n) <= {rate} * {longer} + 1e-9 and abs(x.pos - y.pos) <= {rate} * {longer} + 1e-9")
+    met = left.alias("x").join(right.alias("y"), "print").where(f"x.id <> y.id and {within('x', 'y', rate)} and abs(x.pos - y.pos) <= {rate} * {longer} + 1e-9")
     seed = F.when(F.col("x.id") < F.col("y.id"), F.col("x.pos") * 65536 + F.col("y.pos")).otherwise(F.col("y.pos") * 65536 + F.col("x.pos"))
     return met.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.collect_set(seed).alias("seeds"))
 
