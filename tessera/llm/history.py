@@ -47,7 +47,7 @@ def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, rate: fl
             first = np.concatenate([[True], row[1:] != row[:-1]])
             before = np.where(first, 0, np.concatenate([[0], values[:-1]])).astype(np.uint64)
             pair = mix((before << np.uint64(32)) | values.astype(np.uint64))
-            total = weight + np.where(first, 0, np.concatenate([[0], weight[:-1]]))
+            total = weight + np.where(first, 8, np.concatenate([[0], weight[:-1]]))
             rank = (np.minimum(np.round(total * 8), 1023).astype(np.uint64) << np.uint64(54)) | (pair >> np.uint64(10))
             order = np.lexsort((rank, row))
             r, k = row[order], rank[order]
