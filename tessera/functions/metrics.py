@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,18 +25,26 @@ def unigram_precision(pred: Column, ref: Column) -> Column:
     return F.when(n > 0, 100.0 * F.sum(hits(pred, ref)) / n).otherwise(0.0)
 
 
-def ngrams(c: Column, n: int) -> Column:
-    t = F.coalesce(c, F.lit(""))
-    return F.when(F.length(t) < n, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substr(t, i, F.lit(n))))
-
-
 def char_fscore(pred: Column, ref: Column, n: int = 3, beta: float = 2.0) -> Column:
-    """Per row, in percent: trigrams of pred found in ref, repeats counted, over all of either's distinct trigrams."""
-    p, r = ngrams(pred, n), ngrams(ref, n)
-    same = F.size(F.filter(p, lambda g: F.array_contains(r, g)))
-    prec, rec = same / F.size(F.array_distinct(p)), same / F.size(F.array_distinct(r))
+    """Per row, in percent: n-grams of pred found in ref, repeats counted, over all of either's distinct n-grams. Sets of
+    n-grams in Python: as arrays in the JVM each look-up would be a scan."""
     b = beta * beta
-    return F.when((F.size(p) == 0) | (F.size(r) == 0) | (same == 0), 0.0).otherwise(100.0 * (1 + b) * prec * rec / (b * prec + rec))
+
+    @F.pandas_udf("double")
+    def score(p: pd.Series, r: pd.Series) -> pd.Series:
+        def one(x: str | None, y: str | None) -> float:
+            x, y = x or "", y or ""
+            have = {y[i : i + n] for i in range(len(y) - n + 1)}
+            own = [x[i : i + n] for i in range(len(x) - n + 1)]
+            same = sum(g in have for g in own)
+            if not same:
+                return 0.0
+            prec, rec = same / len(set(own)), same / len(have)
+            return 100.0 * (1 + b) * prec * rec / (b * prec + rec)
+
+        return pd.Series([one(x, y) for x, y in zip(p, r, strict=True)])
+
+    return score(pred, ref)
 
 
 def overlap_f1(pred: Column, ref: Column) -> Column:

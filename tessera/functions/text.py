@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed values.
 DOUBLE_QUOTES = "“”„‟«»″‶"
@@ -29,7 +30,7 @@ def strip(c: Column) -> Column:
     return rsub(rsub(c, r"(?U)^\s+"), r"(?U)\s+$")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t))
 

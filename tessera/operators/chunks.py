@@ -10,27 +10,22 @@ from tessera.functions.text import strip, words
 GROUPS = 4096
 
 
-def chunk_array(c: Column, size: int = 2048, overlap: int = 128, unit: str = "words") -> Column:
-    """Windows of `size` words or code points, each `overlap` into the last; a text no longer than one window is its own
-    stripped self; blank windows are dropped. Null and blank texts give an empty array."""
+def chunked(df: DataFrame, text: str = "text", size: int = 2048, overlap: int = 128, unit: str = "words") -> DataFrame:
+    """df with chunk_id, total_chunks and the chunk in place of the text: windows of `size` words or code points, each
+    `overlap` into the last; a text no longer than one window is its own stripped self. Blank windows and rows without a
+    chunk go, null and blank texts among them. Each step is its own column, lest a lambda compute the words again."""
     step = size - overlap
     if step <= 0:
         raise ValueError("overlap must be below size")
-    t = strip(F.coalesce(c, F.lit("")))
-    n = F.size(words(t)) if unit == "words" else F.length(t)
-    k = F.greatest(F.ceil((n - overlap) / step), F.lit(1)).cast("int")
+    rows = df.withColumn("__t", strip(F.coalesce(F.col(text), F.lit(""))))
+    rows = rows.withColumn("__w", words(F.col("__t")) if unit == "words" else F.lit(None).cast("array<string>"))
+    rows = rows.withColumn("__n", F.size("__w") if unit == "words" else F.length("__t"))
+    k = F.greatest(F.ceil((F.col("__n") - overlap) / step), F.lit(1)).cast("int")
     at = F.sequence(F.lit(0), k - 1)
-    if unit == "words":
-        parts = F.transform(at, lambda i: F.array_join(F.slice(words(t), i * step + 1, F.lit(size)), " "))
-    else:
-        parts = F.transform(at, lambda i: strip(F.substr(t, i * step + 1, F.lit(size))))
-    return F.filter(F.when(n <= size, F.array(t)).otherwise(parts), lambda x: x != "")
-
-
-def chunked(df: DataFrame, text: str = "text", size: int = 2048, overlap: int = 128, unit: str = "words") -> DataFrame:
-    """df with chunk_id, total_chunks and the chunk in place of the text; rows without a chunk go."""
-    made = df.withColumn("__c", chunk_array(F.col(text), size, overlap, unit))
-    return made.select("*", F.posexplode("__c").alias("chunk_id", "__t"), F.size("__c").alias("total_chunks")).withColumn(text, F.col("__t")).drop("__c", "__t")
+    parts = F.transform(at, lambda i: F.array_join(F.slice("__w", i * step + 1, F.lit(size)), " ")) if unit == "words" else F.transform(at, lambda i: strip(F.substr("__t", i * step + 1, F.lit(size))))
+    rows = rows.withColumn("__c", F.filter(F.when(F.col("__n") <= size, F.array("__t")).otherwise(parts), lambda x: x != ""))
+    made = rows.select("*", F.posexplode("__c").alias("chunk_id", "__x"), F.size("__c").alias("total_chunks"))
+    return made.withColumn(text, F.col("__x")).drop("__c", "__x", "__t", "__w", "__n")
 
 
 def ranked(df: DataFrame, by: list[Column], name: str = "rank") -> DataFrame:

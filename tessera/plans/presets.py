@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import quality, script, text
 from tessera.operators import chunks, dedup
+from tessera.plans.shared import written
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ def prepared(df: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B0
 
 def corpus(df: DataFrame, config: Config = Config(), order: str = "doc_id") -> DataFrame:  # noqa: B008
     """The rows that pass every row rule, without repeats, masked, transliterated if asked, in chunks with a document hash."""
-    good = prepared(df, config).where("reason is null").drop("reason", "blocked")
+    good = written(prepared(df, config).where("reason is null").drop("reason", "blocked"), "prepared")
     good = dedup.normalised(good, "text", order) if config.dedup else good
     t = quality.masked(F.col("text"))["text"] if config.mask else F.col("text")
     good = good.withColumn("document_hash", F.sha2("text", 256)).withColumn("text", script.transliterated(t, config.transliterate))
