@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import words
+from tessera.operators.packing import positions
 
 
 def percentiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.1, 0.5, 0.9, 0.99)) -> DataFrame:
@@ -13,10 +14,9 @@ def percentiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.1, 0.5
     values, of which there are far fewer than rows."""
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
     run = counts.withColumn("upto", F.sum("n").over(Window.orderBy(value)))
-    total = counts.agg(F.sum("n").alias("total"))
-    both = run.crossJoin(F.broadcast(total))  # one row of totals
-    at = [F.min(F.when(F.col("upto") > F.floor(F.col("total") * p), F.col(value))).alias(f"p{round(p * 100)}") for p in shares]
-    return both.agg(*at, F.max(value).alias("max"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    at = [F.min(F.when(F.col("upto") > int(total * p), F.col(value))).alias(f"p{round(p * 100)}") for p in shares]
+    return run.agg(*at, F.max(value).alias("max"))
 
 
 def token_rows(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -24,20 +24,20 @@ def token_rows(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def vocabulary_growth(df: DataFrame, text: str, source: str, order: str) -> DataFrame:
-    """(source, vocabulary): distinct tokens seen up to the last row of each source, in row order. First sights are counted
-    per row and summed over the rows that have any, joined by order ranges of sources."""
-    firsts = token_rows(df, text, [order]).groupBy("token").agg(F.min(order).alias("first")).groupBy("first").agg(F.count("*").alias("n"))
-    last = df.groupBy(source).agg(F.max(order).alias("last"))
-    # one row per source: their number is that of sources, small against rows
-    return last.join(firsts, F.col("first") <= F.col("last"), "left").groupBy(source).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("vocabulary"))
+    """(source, vocabulary): distinct tokens seen up to the last row of each source, in row order. Tokens are counted at the
+    row that has them first; the running sum goes by groups of rows."""
+    firsts = token_rows(df, text, [order]).groupBy("token").agg(F.min(order).alias(order)).groupBy(order).agg(F.count("*").alias("__new"))
+    rows = df.select(source, order).join(firsts, order, "left").withColumn("__new", F.coalesce("__new", F.lit(0)))
+    upto = positions(rows, order, "__new").withColumn("__v", F.col("start") + F.col("__new"))
+    return upto.groupBy(source).agg(F.max("__v").alias("vocabulary"))
 
 
 def top_tokens(df: DataFrame, text: str, order: str, n: int = 1000) -> DataFrame:
     """The n commonest tokens with count and percentage of all; of equals the one seen first."""
     rows = token_rows(df, text, [order])
     counts = rows.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct(order, "pos")).alias("first"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).orderBy(F.desc("n"), "first").limit(n).select("token", "n", F.round(100.0 * F.col("n") / F.col("total"), 4).alias("percent"))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    return counts.orderBy(F.desc("n"), "first").limit(n).select("token", "n", F.round(100.0 * F.col("n") / total, 4).alias("percent"))
 
 
 def histogram(df: DataFrame, length: Column) -> DataFrame:

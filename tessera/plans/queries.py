@@ -365,7 +365,8 @@ def _(s, d):
 def _(s, d):
     rows = docs(s, d)
     tokens = stats.token_rows(rows, "text", []).groupBy("token").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("vocabulary"))
-    return rows.agg(F.count("*").alias("rows"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("chars")).join(F.broadcast(tokens))  # one row with one row
+    t = tokens.first()
+    return rows.agg(F.count("*").alias("rows"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("chars")).withColumn("tokens", F.lit(t[0])).withColumn("vocabulary", F.lit(t[1]))
 
 
 @query("aud_novelty", "select source, count(*) as raw, count(*) filter (where not seen) as kept, count(*) filter (where not seen) * 100.0::double / greatest(count(*), 1) as novelty from (select source, exists (select 1 from corpus_rows c where c.text = i.text) as seen from incoming_rows i) group by source")
