@@ -135,22 +135,34 @@ def lcs_ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - v.bit_count()) / (len(a) + len(b))
 
 
-def fuzzy_links(df: DataFrame, text: str, order: str, threshold: float = 90.0, pieces: int = 0) -> DataFrame:
-    """(a, b): keys alike by lcs_ratio. Candidates share one of the sorted-by-hash word bigrams in their prefix, which any
-    two keys above the threshold do unless their differences touch all of it; lengths bound the ratio first."""
-    key = first_rows(df.where(F.col(text).isNotNull()).select(F.col(order), dedup_key(F.col(text)).alias("key")), ["key"], order).where("key <> ''")
-    grams = F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("key") - 4, F.lit(1))), lambda i: F.xxhash64(F.substr("key", i, F.lit(5))))))
-    # each edit of an LCS alignment touches five 5-grams at most: this many of the least must hold one in common
-    edits = F.floor((1 - threshold / 100) * 2 * F.length("key") / (threshold / 50 - (threshold / 100)))
-    keep = F.slice(grams, F.lit(1), F.least(F.size(grams), (edits * 5 + 1).cast("int")))
-    rows = key.withColumn("n", F.length("key")).withColumn("g", F.explode(keep))
-    x, y = rows.select(order, "n", "g").alias("x"), rows.select(order, "n", "g").alias("y")
-    close = 200 * F.least("x.n", "y.n") / (F.col("x.n") + F.col("y.n")) >= threshold
-    pairs = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col(f"x.{order}") < F.col(f"y.{order}")) & close).select(F.col(f"x.{order}").alias("a"), F.col(f"y.{order}").alias("b")).distinct()
-
-    @F.pandas_udf("double")
-    def ratio(p: pd.Series, q: pd.Series) -> pd.Series:
-        return pd.Series([lcs_ratio(u, v) for u, v in zip(p, q, strict=True)])
-
-    both = pairs.join(key.select(F.col(order).alias("a"), F.col("key").alias("ka")), "a").join(key.select(F.col(order).alias("b"), F.col("key").alias("kb")), "b")
-    return both.where(ratio("ka", "kb") >= threshold).select("a", "b")
+def fuzzy_links(df: DataFrame, text: str, order: str, threshold: float = 90.0, window: int = 1000, block: int = 4096) -> DataFrame:
+    """(a, b), a before b: folded keys alike by lcs_ratio, at most `window` distinct keys apart in row order. Rows go in blocks
+    with the window before each, so no task sees more than block + window of them; within a block lengths and character
+    counts, whose difference bounds the edits, leave few pairs to compare."""
+    from tessera.operators.packing import positions
+
+    key = first_rows(df.where(F.col(text).isNotNull()).select(F.col(order).alias("o"), dedup_key(F.col(text)).alias("key")).where("key <> ''"), ["key"], "o")
+    placed = positions(key.withColumn("one", F.lit(1).cast("long")), "o", "one").select("o", "key", F.col("start").alias("i"))
+    own = F.floor(F.col("i") / block)
+    blocks = F.sequence(own, F.floor((F.col("i") + window) / block))
+    rows = placed.withColumn("block", F.explode(blocks))
+
+    def pairs(at: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i", kind="stable")
+        keys, place, ids = pdf["key"].tolist(), pdf["i"].to_numpy(), pdf["o"].to_numpy()
+        size = np.array([len(k) for k in keys])
+        counts = np.zeros((len(keys), 64), np.int32)
+        for n, k in enumerate(keys):
+            counts[n] = np.bincount(np.frombuffer(k.encode("utf-32-le", "surrogatepass"), np.uint32) & 63, minlength=64)
+        out = []
+        for n in np.flatnonzero(place // block == at[0]):
+            lo = np.searchsorted(place, place[n] - window)
+            both = size[lo:n] + size[n]
+            room = both * (1 - threshold / 100) + 1e-9
+            near = np.flatnonzero(np.abs(size[lo:n] - size[n]) <= room) + lo
+            near = near[np.abs(counts[near] - counts[n]).sum(axis=1) <= room[near - lo]]
+            out += [(ids[m], ids[n]) for m in near if lcs_ratio(keys[m], keys[n]) >= threshold]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    kind = df.schema[order].dataType.simpleString()
+    return rows.groupBy("block").applyInPandas(pairs, f"a {kind}, b {kind}")
