@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import chat, metrics, quality, script, text
-from tessera.operators import chunks, dedup, packing, pieces, sampling, stats
+from tessera.operators import chunks, dedup, evaluation, packing, pieces, sampling, stats, tokenizers
 from tessera.plans import presets
 from tessera.plans.shared import shared_dir, table
 
@@ -434,17 +434,26 @@ def _(s, d):
     return pieces.encoded(docs(s, d), "text", table(s, d, "vocab_pieces"), ["doc_id"]).select("doc_id", F.size("input_ids").alias("tokens"), "round_trip")
 
 
+def fit_rows(s, d, by):
+    rows = docs(s, d).where("text is not null").select(by, text.word_count(F.col("text")).cast("long").alias("w"), F.octet_length("text").cast("long").alias("b"), F.length("text").cast("long").alias("c"), "text")
+    return pieces.encoded(rows, "text", table(s, d, "vocab_pieces"), [by, "w", "b", "c"])
+
+
 @query("tok_fitness")
 def _(s, d):
-    """Per script: tokens a word, bytes a token, characters a token, share of texts that come back, used share of the
-    vocabulary and entropy of its pieces."""
-    rows = pieces.encoded(docs(s, d).where("text is not null").select("script", text.word_count(F.col("text")).cast("long").alias("w"), F.octet_length("text").cast("long").alias("b"), F.length("text").cast("long").alias("c"), "text"), "text", table(s, d, "vocab_pieces"), ["script", "w", "b", "c"])
-    sums = rows.groupBy("script").agg(F.sum(F.size("input_ids")).alias("t"), F.sum("w").alias("w"), F.sum("b").alias("b"), F.sum("c").alias("c"), F.avg(F.col("round_trip").cast("int")).alias("round_trip"))
-    used = rows.select("script", F.explode("input_ids").alias("i")).groupBy("script", "i").agg(F.count("*").alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("script"))
-    most = used.withColumn("p", share).groupBy("script").agg(F.count("*").alias("kinds"), F.sum(-F.col("p") * F.log2("p")).alias("entropy"))
-    v = table(s, d, "vocab_pieces").count()
-    return sums.join(most, ["script"], "left").select("script", (F.col("t") / F.col("w")).alias("fertility"), (F.col("b") / F.col("t")).alias("bytes_per_token"), (F.col("c") / F.col("t")).alias("chars_per_token"), "round_trip", (F.col("kinds") / v).alias("utilisation"), "entropy")
+    return tokenizers.fitness(fit_rows(s, d, "script"), "script", table(s, d, "vocab_pieces").count())
+
+
+@query("tok_domains")
+def _(s, d):
+    f = tokenizers.fitness(fit_rows(s, d, "category"), "category", table(s, d, "vocab_pieces").count())
+    return f.withColumn("complies", tokenizers.complies()).withColumn("score", tokenizers.score(F.lit("unigram")))
+
+
+@query("tok_winner")
+def _(s, d):
+    f = tokenizers.fitness(fit_rows(s, d, "script"), "script", table(s, d, "vocab_pieces").count())
+    return tokenizers.winner(f.where("script is not null and fertility is not null"), "script")
 
 
 @query("tok_coverage", "with c as (select distinct unnest(string_split(text, '')) as c from documents), v as (select distinct unnest(string_split(piece, '')) as c from vocab_pieces where kind = 'normal') select count(*) as characters, count(v.c) as covered from c left join v using (c) where c <> ''")
@@ -470,6 +479,17 @@ def _(s, d):
     return pairs.join(n.select(F.col("split").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("split").alias("b"), F.col("n").alias("nb")), "b").select("a", "b", (F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).alias("jaccard"))
 
 
+@query("tok_tier", "select source, case when b >= 524288000 then 'v3-final' when b >= 262144000 then 'v2-expanded' when b >= 52428800 then 'v1-pretrain' else 'v0-experimental' end as tier from (select source, coalesce(sum(strlen(text)), 0) as b from documents group by source)")
+def _(s, d):
+    g = docs(s, d).groupBy("source").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"))
+    return g.select("source", tokenizers.tier(F.col("b")).alias("tier"))
+
+
+@query("tok_longest", f"select script, max(length(w)) as longest from (select script, unnest({words(T)}) as w from documents) group by script")
+def _(s, d):
+    return docs(s, d).select("script", F.explode(text.words(F.col("text"))).alias("w")).groupBy("script").agg(F.max(F.length("w")).alias("longest"))
+
+
 # packing
 @query("pak_positions", f"select doc_id, n, coalesce(sum(n) over (order by doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as start from (select doc_id, {nwords(T)} + 1 as n from documents)")
 def _(s, d):
@@ -581,6 +601,37 @@ def _(s, d):
     return few.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("c"), "b"))).where("r <= 3").select("a", "b")
 
 
+@query("met_hallucination", "select count(*) filter (where contains(lower(coalesce(output, '')), 'i am not sure') or contains(lower(coalesce(output, '')), 'however, factually') or length(coalesce(output, '')) > 4 * length(coalesce(input, ''))) as flagged from instructions")
+def _(s, d):
+    return table(s, d, "instructions").agg(F.count_if(evaluation.hallucinated(F.col("output"), F.col("input"))).alias("flagged"))
+
+
+@query("met_self", f"with t as (select pair_id, w, count(*) as n from (select pair_id, unnest({PW}) as w from instructions) group by pair_id, w), o as (select w, count(*) > 1 as others from t group by w) select avg(s) as self_overlap from (select 100.0::double * sum(case when others then n else 0 end) / sum(n) as s from t join o using (w) group by pair_id)")
+def _(s, d):
+    return evaluation.self_overlap(table(s, d, "instructions"), "pair_id", "output")
+
+
+@query("met_bands", "select category, case when acc >= 85 then 'ideal' when acc >= 65 then 'acceptable' else 'failed' end as band from (select category, 100.0 * avg((output = input)::int) as acc from instructions where output is not null and input is not null group by category)")
+def _(s, d):
+    acc = table(s, d, "instructions").where("output is not null and input is not null").groupBy("category").agg((100.0 * F.avg((F.col("output") == F.col("input")).cast("int"))).alias("v"))
+    return evaluation.banded(acc.withColumn("metric", F.lit("accuracy")), "metric", "v").select("category", "band")
+
+
+@query("ben_held_out", "select row_id from corpus_rows where split = 'test' and length(text) >= 30 order by row_id limit 1000")
+def _(s, d):
+    return evaluation.held_out(table(s, d, "corpus_rows").where("split = 'test'"), "text", "row_id").select("row_id")
+
+
+@query("ben_noised")
+def _(s, d):
+    return table(s, d, "bench_items").where("length(text) <= 300").select("item_id", evaluation.noised(F.col("text"), F.col("item_id")).alias("noisy_text"), F.col("text").alias("target_clean_text"))
+
+
+@query("xlt_pairs")
+def _(s, d):
+    return evaluation.parallel_pairs(docs(s, d), "text", "doc_id")
+
+
 # sampling and sources
 @query("str_extracted", f"select doc_id from documents where length({strip('text')}) between 10 and 100000 and (language is null or language in ('mni', 'bn'))")
 def _(s, d):
