@@ -8,7 +8,8 @@ distance (multiset difference of words) is a metric too and at most twice that.
 * narrow pivots: one word pair each. A text lies nearer to those it holds. Two texts within L edits hold all but 2 L of
   each other's, so the first 2 L + 1 of either, in one fixed order, have one in common: these are its table rows, by whose
   range the join is partitioned. Pairs of
-  rare words come first in the order, by the words' counts, hence a turn of phrase common to many is hardly a key.
+  rare words come first in the order, by the words' counts, and pairs common themselves last, hence a turn of phrase common to
+  many is hardly a key.
 
 The table is written by batch and only appended to; old texts are never read again. Exact copies meet by a 128-bit key
 first. A row that matches the earliest row in one of its first ranges is settled before the full join, which keeps
@@ -24,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.runtime import table, written
-from tessera.llm.wordtable import common_words, distinct_texts, flat, mix, order_key, verified, wide_pivots, within, word_table
+from tessera.llm.wordtable import common_pairs, common_words, distinct_texts, flat, order_key, verified, wide_pivots, within, word_pairs, word_table
 
 RATE = 0.15
 FIRST = 4
 
 
-def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, rate: float = RATE, most: int = 1 << 30) -> DataFrame:
+def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, pairs: np.ndarray, rate: float = RATE, most: int = 1 << 30) -> DataFrame:
     """Rows (key, pos, id, batch, n, wide) of the pivot-distance table for a word table with id, batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,9 +46,10 @@ def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, rate: fl
                 at = np.minimum(np.searchsorted(common, values), len(common) - 1)
                 weight = np.where(common[at] == values, 1 + np.log2(np.maximum(often[at], 1)), 0)
             first = np.concatenate([[True], row[1:] != row[:-1]])
-            before = np.where(first, 0, np.concatenate([[0], values[:-1]])).astype(np.uint64)
-            pair = mix((before << np.uint64(32)) | values.astype(np.uint64))
+            pair = word_pairs(values, row)
             total = weight + np.where(first, 8, np.concatenate([[0], weight[:-1]]))
+            if len(pairs):
+                total = total + 64.0 * (pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair)
             rank = (np.minimum(np.round(total * 8), 1023).astype(np.uint64) << np.uint64(54)) | (pair >> np.uint64(10))
             order = np.lexsort((rank, row))
             r, k = row[order], rank[order]
@@ -79,20 +81,21 @@ def repeats(history: DataFrame, fresh: DataFrame, rate: float = RATE) -> DataFra
     unique = written(unique.select("exact", "id", "batch", "n", "seq"), "unique")
     exact = fresh.where("n > 0").select("id", "exact").join(unique.select("exact", F.col("id").alias("earlier")), "exact").where("id <> earlier").select("id", "earlier", F.lit(0).alias("distance"))
     common, often = common_words(unique)
+    pairs = common_pairs(unique, common)
     first_fresh = fresh.agg(F.min("batch")).first()[0]
     if first_fresh is None:
         return exact
     new, old = unique.where(F.col("batch") >= first_fresh), unique.where(F.col("batch") < first_fresh)
-    asked = written(pivot_rows(new, common, often, rate), "asked_ranges")
+    asked = written(pivot_rows(new, common, often, pairs, rate), "asked_ranges")
     # some earlier row of each of a text's first ranges: of history any, else the first of the new rows
-    held = pivot_rows(old, common, often, rate, FIRST).groupBy("key").agg(F.min("id").alias("b"))
+    held = pivot_rows(old, common, often, pairs, rate, FIRST).groupBy("key").agg(F.min("id").alias("b"))
     held_new = asked.where(F.col("pos") < FIRST).groupBy("key").agg(F.min(order_key("batch", "id")).alias("o")).select("key", F.expr("cast(o - floor(o / 20000000000000000000BD) * 20000000000000000000BD as bigint)").alias("b"), "o")
     head = asked.where(F.col("pos") < FIRST)
     quick = head.join(held, "key").select(F.col("id").alias("a"), "b").unionAll(head.join(held_new, "key").where(F.col("o") < order_key("batch", "id")).select(F.col("id").alias("a"), "b")).distinct()
     best = lambda v: v.groupBy("a").agg(F.min(F.expr("cast(distance as decimal(38,0)) * 20000000000000000000BD + b")).alias("m")).select(F.col("a").alias("id"), F.expr("cast(m - floor(m / 20000000000000000000BD) * 20000000000000000000BD as bigint)").alias("earlier"), F.expr("cast(floor(m / 20000000000000000000BD) as int)").alias("distance"))
     settled = written(best(verified(written(quick, "quick"), unique, rate)), "settled")
     rest = asked.join(settled.select("id"), "id", "left_anti")
-    rows = pivot_rows(old, common, often, rate).unionByName(asked)
+    rows = pivot_rows(old, common, often, pairs, rate).unionByName(asked)
     full = rest.alias("x").join(rows.alias("y"), "key").where(_near("x", "y", rate)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     late = best(verified(written(full, "full"), unique, rate))
     return exact.unionByName(settled).unionByName(late)

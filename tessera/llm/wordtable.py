@@ -77,6 +77,45 @@ def common_words(table: DataFrame, share: float = COMMON_SHARE) -> tuple[np.ndar
     return got["word"].to_numpy("uint32"), got["df"].to_numpy("float64") / (share * rows)
 
 
+PAIR_SHARE = 0.0003  # a pair of common words in more than this share of the texts is common itself
+
+
+def word_pairs(values: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Hash of each word and the one before it in its text, zero before the first."""
+    first = np.concatenate([[True], row[1:] != row[:-1]])
+    before = np.where(first, 0, np.concatenate([[0], values[:-1]])).astype(np.uint64)
+    return mix((before << np.uint64(32)) | values.astype(np.uint64))
+
+
+def common_pairs(table: DataFrame, common: np.ndarray, share: float = PAIR_SHARE) -> np.ndarray:
+    """Sorted hashes of the pairs of common words in more than `share` of the texts, counted over all of them; no more than
+    mean(n) / share."""
+    rows = max(1, table.where("n > 0").count())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, "int64")
+        for pdf in batches:
+            values, row = flat(pdf["seq"])
+            if not len(values) or not len(common):
+                continue
+            often = common[np.minimum(np.searchsorted(common, values), len(common) - 1)] == values
+            both = often & np.concatenate([[False], often[:-1] & (row[1:] == row[:-1])])
+            pair, r = word_pairs(values, row)[both], row[both]
+            order = np.lexsort((r, pair))
+            pair, r = pair[order], r[order]
+            new = np.concatenate([[True], (pair[1:] != pair[:-1]) | (r[1:] != r[:-1])])[: len(pair)]
+            k, c = np.unique(pair[new], return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([counts, c]), minlength=len(keys)).astype("int64")
+            if len(keys) > MAX_CACHE:
+                yield pd.DataFrame({"pair": keys.view(np.int64), "df": counts})
+                keys, counts = np.zeros(0, np.uint64), np.zeros(0, "int64")
+        yield pd.DataFrame({"pair": keys.view(np.int64), "df": counts})
+
+    got = table.select("seq").mapInPandas(run, "pair long, df long").groupBy("pair").agg(F.sum("df").alias("df")).where(F.col("df") > share * rows).select("pair").toPandas()
+    return np.sort(got["pair"].to_numpy(np.int64).view(np.uint64))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (fixed multipliers of the splitmix generator)."""
     x = x.astype(np.uint64)
@@ -139,6 +178,16 @@ def distinct_texts(words: DataFrame, *more: Column) -> DataFrame:
     return words.where("n > 0").groupBy("exact").agg(F.first("n").alias("n"), F.first("seq").alias("seq"), *more)
 
 
+def may_be_near(a: pd.Series, b: pd.Series, rate: float, classes: int = 64) -> np.ndarray:
+    """Whether the counts of words by hash class allow the edits: each moves two of them by one at most."""
+    sides = []
+    for s in (a, b):
+        values, row = flat(s)
+        sides.append(np.bincount(row * classes + (mix(values) >> np.uint64(58)).astype(np.int64), minlength=len(s) * classes).reshape(-1, classes))
+    n = np.maximum(sides[0].sum(axis=1), sides[1].sum(axis=1))
+    return np.abs(sides[0] - sides[1]).sum(axis=1) <= 2 * np.floor(rate * n + 1e-9)
+
+
 def verified(pairs: DataFrame, table: DataFrame, rate: float) -> DataFrame:
     """Of written pairs (a, b), those whose word sequences in table (id, seq) are at most floor(rate * longer length)
     apart, with that distance. The table moves once, joined with the ids asked for."""
@@ -149,6 +198,7 @@ def verified(pairs: DataFrame, table: DataFrame, rate: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            pdf = pdf[may_be_near(pdf["seq_a"], pdf["seq_b"], rate)]
             d = []
             for x, y in zip(pdf["seq_a"], pdf["seq_b"], strict=True):
                 u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
