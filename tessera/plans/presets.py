@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import quality, script, text
 from tessera.operators import chunks, dedup
-from tessera.plans.shared import written
+from tessera.plans.shared import spread, written
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class Config:
 def prepared(df: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B008
     """Normalised and cleaned text, its reject reason, script, language, quality and blocked term; provenance columns stay."""
     t = F.col("text")
-    out = df.withColumn("text", text.clean(text.normalise(t)))
+    out = spread(df).withColumn("text", text.clean(text.normalise(t)))
     out = out.withColumn("reason", quality.reject_reason(t)).withColumn("__s", script.dominant(t))
     out = out.withColumn("script", F.col("__s.script")).withColumn("script_confidence", F.col("__s.confidence")).drop("__s")
     out = out.withColumn("quality_score", quality.quality_score(t)).withColumn("blocked", quality.blocked_term(t))

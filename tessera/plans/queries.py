@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import chat, metrics, quality, script, text
 from tessera.operators import chunks, dedup, evaluation, packing, pieces, sampling, stats, tokenizers
 from tessera.plans import presets
-from tessera.plans.shared import shared_dir, table
+from tessera.plans.shared import shared_dir, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -224,7 +224,7 @@ def _(s, d):
 @query("pii_masked")
 def _(s, d):
     m = quality.masked(F.col("text"))
-    return docs(s, d).select("doc_id", m.alias("m")).select("doc_id", "m.text", F.array_sort(F.map_keys("m.counts")).alias("kinds"))
+    return spread(docs(s, d).select("doc_id", "text")).select("doc_id", m.alias("m")).select("doc_id", "m.text", F.array_sort(F.map_keys("m.counts")).alias("kinds"))
 
 
 # repeats
@@ -246,7 +246,7 @@ def _(s, d):
 
 @query("ded_minhash")
 def _(s, d):
-    return dedup.greedy(dedup.minhash_links(dedup.signatures(table(s, d, "corpus_rows"), "text", "row_id"), "row_id"), shared_dir(s))
+    return dedup.greedy(dedup.minhash_links(dedup.signatures(spread(table(s, d, "corpus_rows").select("row_id", "text")), "text", "row_id"), "row_id"), shared_dir(s))
 
 
 @query("ded_against", f"select row_id from incoming_rows i where not exists (select 1 from corpus_rows c where {strip('c.text')} = {strip('i.text')})")
@@ -436,7 +436,7 @@ def _(s, d):
 
 def fit_rows(s, d, by):
     rows = docs(s, d).where("text is not null").select(by, text.word_count(F.col("text")).cast("long").alias("w"), F.octet_length("text").cast("long").alias("b"), F.length("text").cast("long").alias("c"), "text")
-    return pieces.encoded(rows, "text", table(s, d, "vocab_pieces"), [by, "w", "b", "c"])
+    return pieces.encoded(spread(rows), "text", table(s, d, "vocab_pieces"), [by, "w", "b", "c"])
 
 
 @query("tok_fitness")
@@ -499,7 +499,7 @@ def _(s, d):
 
 @query("pak_blocks")
 def _(s, d):
-    ids = pieces.encoded(docs(s, d), "text", table(s, d, "vocab_pieces"), ["doc_id"]).select("doc_id", F.concat("input_ids", F.array(F.lit(2))).alias("ids"))
+    ids = pieces.encoded(spread(docs(s, d).select("doc_id", "text")), "text", table(s, d, "vocab_pieces"), ["doc_id"]).select("doc_id", F.concat("input_ids", F.array(F.lit(2))).alias("ids"))
     return packing.packed(ids, "doc_id", "ids", 512, 3)
 
 
