@@ -17,6 +17,7 @@ from tessera.llm.tokens import counted, piece_counter
 
 BLOCK = 4096  # items packed in one task at once
 GOOD = 0.98
+CAPACITIES = 1000  # of a stated list, at most
 EOS = 1  # tokens that end each item
 WEIGHTS = (1.0, 0.05, 0.1)
 
@@ -51,7 +52,8 @@ def pieces(sizes: DataFrame, packs: DataFrame) -> DataFrame:
     """(seq_len, doc_id, part, tokens): every item once per capacity; only those above it are cut, into full containers and
     a rest. Items of no token are left out."""
     items = sizes.where("tokens > 0").withColumn("whole", F.col("tokens") + EOS)
-    both = items.join(F.broadcast(packs.where("seq_len > 1").select("seq_len").distinct().limit(1000)))  # a stated set of capacities, not rows
+    caps = sorted({int(r[0]) for r in packs.where("seq_len > 1").select("seq_len").distinct().limit(CAPACITIES).collect()})
+    both = items.withColumn("seq_len", F.explode(F.array(*[F.lit(c) for c in caps]).cast("array<int>")))
     cut = both.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("whole") - 1) / F.col("seq_len")).cast("int"))))
     return cut.select("seq_len", "doc_id", "part", F.least(F.col("seq_len").cast("long"), F.col("whole") - F.col("part") * F.col("seq_len")).alias("tokens"))
 
