@@ -8,7 +8,7 @@ distance (multiset difference of words) is a metric too and at most twice that.
 * narrow pivots: one word pair each. A text lies nearer to those it holds. Two texts within L edits hold all but 2 L of
   each other's, so the first 2 L + 1 of either, in one fixed order, have one in common: these are its table rows, by whose
   range the join is partitioned. Pairs of
-  rare words come first in the order, by the words' counts, and pairs common themselves last, hence a turn of phrase common to
+  rare words come first in the order, by the words' counts, and pairs common themselves last, by their own counts, hence a turn of phrase common to
   many is hardly a key.
 
 The table is written by batch and only appended to; old texts are never read again. Exact copies meet by a 128-bit key
@@ -31,7 +31,7 @@ RATE = 0.15
 FIRST = 4
 
 
-def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, pairs: np.ndarray, rate: float = RATE, most: int = 1 << 30) -> DataFrame:
+def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], rate: float = RATE, most: int = 1 << 30) -> DataFrame:
     """Rows (key, pos, id, batch, n, wide) of the pivot-distance table for a word table with id, batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -48,8 +48,10 @@ def pivot_rows(words: DataFrame, common: np.ndarray, often: np.ndarray, pairs: n
             first = np.concatenate([[True], row[1:] != row[:-1]])
             pair = word_pairs(values, row)
             total = weight + np.where(first, 8, np.concatenate([[0], weight[:-1]]))
-            if len(pairs):
-                total = total + 64.0 * (pairs[np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)] == pair)
+            held, often_held = pairs
+            if len(held):
+                at = np.minimum(np.searchsorted(held, pair), len(held) - 1)
+                total = np.where(held[at] == pair, 64 + 2 * np.log2(np.maximum(often_held[at], 1)), total)
             rank = (np.minimum(np.round(total * 8), 1023).astype(np.uint64) << np.uint64(54)) | (pair >> np.uint64(10))
             order = np.lexsort((rank, row))
             r, k = row[order], rank[order]

@@ -87,9 +87,9 @@ def word_pairs(values: np.ndarray, row: np.ndarray) -> np.ndarray:
     return mix((before << np.uint64(32)) | values.astype(np.uint64))
 
 
-def common_pairs(table: DataFrame, common: np.ndarray, share: float = PAIR_SHARE) -> np.ndarray:
-    """Sorted hashes of the pairs of common words in more than `share` of the texts, counted over all of them; no more than
-    mean(n) / share."""
+def common_pairs(table: DataFrame, common: np.ndarray, share: float = PAIR_SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the pairs of common words (or of a text's beginning and a common word) in more than `share` of the
+    texts, and how many times that share, counted over all texts; no more than mean(n) / share."""
     rows = max(1, table.where("n > 0").count())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,7 +99,7 @@ def common_pairs(table: DataFrame, common: np.ndarray, share: float = PAIR_SHARE
             if not len(values) or not len(common):
                 continue
             often = common[np.minimum(np.searchsorted(common, values), len(common) - 1)] == values
-            both = often & np.concatenate([[False], often[:-1] & (row[1:] == row[:-1])])
+            both = often & np.concatenate([[True], often[:-1] | (row[1:] != row[:-1])])
             pair, r = word_pairs(values, row)[both], row[both]
             order = np.lexsort((r, pair))
             pair, r = pair[order], r[order]
@@ -112,8 +112,10 @@ def common_pairs(table: DataFrame, common: np.ndarray, share: float = PAIR_SHARE
                 keys, counts = np.zeros(0, np.uint64), np.zeros(0, "int64")
         yield pd.DataFrame({"pair": keys.view(np.int64), "df": counts})
 
-    got = table.select("seq").mapInPandas(run, "pair long, df long").groupBy("pair").agg(F.sum("df").alias("df")).where(F.col("df") > share * rows).select("pair").toPandas()
-    return np.sort(got["pair"].to_numpy(np.int64).view(np.uint64))
+    got = table.select("seq").mapInPandas(run, "pair long, df long").groupBy("pair").agg(F.sum("df").alias("df")).where(F.col("df") > share * rows).toPandas()
+    pairs = got["pair"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(pairs)
+    return pairs[order], got["df"].to_numpy("float64")[order] / (share * rows)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
