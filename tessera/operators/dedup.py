@@ -80,13 +80,16 @@ def signatures(df: DataFrame, text: str, order: str, permutations: int = 128, si
     return df.select(F.col(order).alias("o"), F.col(text).alias("t")).mapInPandas(run, f"`{order}` {kind}, sig array<long>")
 
 
-def minhash_links(sigs: DataFrame, order: str, bands: int = 16, threshold: float = 0.85) -> DataFrame:
-    """(a, b) with a before b: signatures that agree in a band and in at least threshold of all places. Rows of one and the
-    same signature are linked to their first only."""
+def signature_firsts(sigs: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """(first, order) of every row with a signature: the first row that has the same one; and the signatures of the firsts."""
     whole = sigs.withColumn("s", F.xxhash64("sig"))
     firsts = whole.groupBy("s").agg(F.min(order).alias("first"))
-    same = whole.join(firsts, "s").where(F.col(order) > F.col("first")).select(F.col("first").alias("a"), F.col(order).alias("b"))
-    reps = whole.join(firsts, whole[order] == firsts["first"], "left_semi").select(order, "sig")
+    members = whole.join(firsts, "s").select("first", order)
+    return members, whole.join(firsts, whole[order] == firsts["first"], "left_semi").select(order, "sig")
+
+
+def near_signatures(reps: DataFrame, order: str, bands: int = 16, threshold: float = 0.85) -> DataFrame:
+    """(a, b) with a before b: signatures that agree in a band and in at least threshold of all places."""
     rows = F.size("sig") / bands
     banded = reps.select(order, "sig", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.xxhash64(F.slice("sig", (i * rows + 1).cast("int"), rows.cast("int"))).alias("h")))).alias("k"))
     keys = banded.select(order, "k.band", "k.h")
@@ -94,8 +97,27 @@ def minhash_links(sigs: DataFrame, order: str, bands: int = 16, threshold: float
     pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col(f"x.{order}") < F.col(f"y.{order}"))).select(F.col(f"x.{order}").alias("a"), F.col(f"y.{order}").alias("b")).distinct()
     both = pairs.join(reps.select(F.col(order).alias("a"), F.col("sig").alias("sa")), "a").join(reps.select(F.col(order).alias("b"), F.col("sig").alias("sb")), "b")
     equal = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda n, v: n + v)
-    near = both.where(equal >= threshold * F.size("sa")).select("a", "b")
-    return same.unionByName(near)
+    return both.where(equal >= threshold * F.size("sa")).select("a", "b")
+
+
+def minhash_links(sigs: DataFrame, order: str, bands: int = 16, threshold: float = 0.85) -> DataFrame:
+    """(a, b) with a before b: near signatures, and rows of one and the same signature linked to their first only. To see
+    which rows go, take minhash_gone: greedy() on these links alone would keep the copies of a row that goes."""
+    members, reps = signature_firsts(sigs, order)
+    same = members.where(F.col(order) > F.col("first")).select(F.col("first").alias("a"), F.col(order).alias("b"))
+    return same.unionByName(near_signatures(reps, order, bands, threshold))
+
+
+def minhash_gone(sigs: DataFrame, order: str, shared: str, bands: int = 16, threshold: float = 0.85) -> DataFrame:
+    """(id, kept_by): the rows that go. Which signatures go is settled between their first rows; every copy then shares its
+    first row's fate, or goes by that first row itself."""
+    path = f"{shared}/signatures-{uuid.uuid4().hex}"
+    small = sigs.withColumn("sig", F.transform("sig", lambda v: (v - F.lit(1 << 31)).cast("int")))  # only compared; half the bytes
+    small.write.parquet(path)
+    members, reps = signature_firsts(sigs.sparkSession.read.schema(small.schema).parquet(path), order)
+    gone = greedy(near_signatures(reps, order, bands, threshold), shared)
+    fate = members.join(gone.select(F.col("id").alias("first"), "kept_by"), "first", "left")
+    return fate.where(F.col("kept_by").isNotNull() | (F.col(order) > F.col("first"))).select(F.col(order).alias("id"), F.coalesce("kept_by", "first").alias("kept_by"))
 
 
 def greedy(links: DataFrame, shared: str) -> DataFrame:

@@ -246,7 +246,7 @@ def _(s, d):
 
 @query("ded_minhash")
 def _(s, d):
-    return dedup.greedy(dedup.minhash_links(dedup.signatures(spread(table(s, d, "corpus_rows").select("row_id", "text")), "text", "row_id"), "row_id"), shared_dir(s))
+    return dedup.minhash_gone(dedup.signatures(spread(table(s, d, "corpus_rows").select("row_id", "text")), "text", "row_id"), "row_id", shared_dir(s))
 
 
 @query("ded_against", f"select row_id from incoming_rows i where not exists (select 1 from corpus_rows c where {strip('c.text')} = {strip('i.text')})")

@@ -51,6 +51,15 @@ def test_fuzzy_and_minhash_links(spark):
     assert {(3 * k, 3 * k + 2) for k in range(12)} <= links and links <= want | {(a, b + 1) for a, b in want} | {(b, b + 1) for _, b in want}
 
 
+def test_copies_of_a_near_duplicate_go(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    kept, near = " ".join(words), " ".join([*words[:-1], "zzzzzz"])
+    df = spark.createDataFrame([(1, kept), (2, near), (3, near.upper()), (4, near), (5, kept), (6, "another text altogether")], "doc_id long, text string")
+    gone = dedup.minhash_gone(dedup.signatures(df, "text", "doc_id"), "doc_id", shared_dir(spark))
+    assert {(r.id, r.kept_by) for r in gone.collect()} == {(i, 1) for i in (2, 3, 4, 5)}
+
+
 def test_first_rows_and_history(spark):
     df = spark.createDataFrame([(1, "A b"), (2, "a  B"), (3, None), (4, None), (5, "A b")], "doc_id long, text string")
     assert {r.doc_id for r in dedup.exact(df).collect()} == {1, 2, 3}
