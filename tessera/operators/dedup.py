@@ -7,6 +7,7 @@ partners are all settled, so no component is ever gathered in one place."""
 from __future__ import annotations
 
 import uuid
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,34 +158,122 @@ def lcs_ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - v.bit_count()) / (len(a) + len(b))
 
 
-def fuzzy_links(df: DataFrame, text: str, order: str, threshold: float = 90.0, window: int = 1000, block: int = 4096) -> DataFrame:
-    """(a, b), a before b: folded keys alike by lcs_ratio, at most `window` distinct keys apart in row order. Rows go in blocks
-    with the window before each, so no task sees more than block + window of them; within a block lengths and character
-    counts, whose difference bounds the edits, leave few pairs to compare."""
-    from tessera.operators.packing import positions
+def folded_rows(df: DataFrame, text: str, order: str) -> DataFrame:
+    """(o, k, key) of every text that isn't empty: k is the first row of the same folded key; key stands on that row only."""
+    rows = df.where(F.col(text) != "").select(F.col(order).alias("o"), dedup_key(F.col(text)).alias("key")).withColumn("h", F.sha2("key", 256))
+    firsts = rows.groupBy("h").agg(F.min("o").alias("k"))
+    return rows.join(firsts, "h").select("o", "k", F.when(F.col("o") == F.col("k"), F.col("key")).alias("key"))
+
 
-    key = first_rows(df.where(F.col(text).isNotNull()).select(F.col(order).alias("o"), dedup_key(F.col(text)).alias("key")).where("key <> ''"), ["key"], "o")
-    placed = positions(key.withColumn("one", F.lit(1).cast("long")), "o", "one").select("o", "key", F.col("start").alias("i"))
-    own = F.floor(F.col("i") / block)
-    blocks = F.sequence(own, F.floor((F.col("i") + window) / block))
-    rows = placed.withColumn("block", F.explode(blocks))
+def alike_keys(placed: DataFrame, threshold: float, span: int, block: int) -> DataFrame:
+    """(o, k, near): other keys alike by lcs_ratio at most span places before each row of placed (o, k, key, i, fresh), if there
+    are any; pairs without a fresh row are left out. Rows go in blocks with the span before each, so no task sees more than
+    block + span of them; within a block lengths and counts of characters and of pairs of them, whose difference bounds the
+    edits (one edit changes one character and at most three pairs), leave few keys to compare."""
+    rows = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("i") / block), F.floor((F.col("i") + span) / block))))
 
     def pairs(at: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i", kind="stable")
-        keys, place, ids = pdf["key"].tolist(), pdf["i"].to_numpy(), pdf["o"].to_numpy()
+        keys, place, ids, ks, fresh = pdf["key"].tolist(), pdf["i"].to_numpy(), pdf["o"].to_numpy(), pdf["k"].to_numpy(), pdf["fresh"].to_numpy()
         size = np.array([len(k) for k in keys])
-        counts = np.zeros((len(keys), 64), np.int32)
+        counts, twos = np.zeros((len(keys), 64), np.int32), np.zeros((len(keys), 1024), np.int32)
         for n, k in enumerate(keys):
-            counts[n] = np.bincount(np.frombuffer(k.encode("utf-32-le", "surrogatepass"), np.uint32) & 63, minlength=64)
+            c = np.frombuffer(k.encode("utf-32-le", "surrogatepass"), np.uint32)
+            counts[n] = np.bincount(c & 63, minlength=64)
+            twos[n] = np.bincount((c[:-1] * 37 + c[1:]) & 1023, minlength=1024)
         out = []
+        known: dict[tuple, bool] = {}
         for n in np.flatnonzero(place // block == at[0]):
-            lo = np.searchsorted(place, place[n] - window)
+            lo = np.searchsorted(place, place[n] - span)
             both = size[lo:n] + size[n]
             room = both * (1 - threshold / 100) + 1e-9
-            near = np.flatnonzero(np.abs(size[lo:n] - size[n]) <= room) + lo
+            near = np.flatnonzero((np.abs(size[lo:n] - size[n]) <= room) & (ks[lo:n] != ks[n]) & (fresh[lo:n] | fresh[n])) + lo
             near = near[np.abs(counts[near] - counts[n]).sum(axis=1) <= room[near - lo]]
-            out += [(ids[m], ids[n]) for m in near if lcs_ratio(keys[m], keys[n]) >= threshold]
-        return pd.DataFrame(out, columns=["a", "b"])
+            near = near[np.abs(twos[near] - twos[n]).sum(axis=1) <= 3 * room[near - lo]]
+            got = []
+            for m in {ks[m]: m for m in near}.values():
+                pair = (ks[m], ks[n])
+                if pair not in known:
+                    known[pair] = lcs_ratio(keys[m], keys[n]) >= threshold
+                if known[pair]:
+                    got.append(ks[m])
+            if got:
+                out.append((ids[n], ks[n], got))
+        return pd.DataFrame(out, columns=["o", "k", "near"])
+
+    kind = placed.schema["o"].dataType.simpleString()
+    return rows.groupBy("block").applyInPandas(pairs, f"o {kind}, k {kind}, near array<{kind}>")
 
-    kind = df.schema[order].dataType.simpleString()
-    return rows.groupBy("block").applyInPandas(pairs, f"a {kind}, b {kind}")
+
+def fuzzy_links(df: DataFrame, text: str, order: str, threshold: float = 90.0, window: int = 1000, block: int = 4096) -> DataFrame:
+    """(a, b), a before b: folded keys alike by lcs_ratio, at most `window` distinct keys apart in row order. The window of kept
+    rows depends on what goes: see fuzzy_gone."""
+    from tessera.operators.packing import positions
+
+    firsts = folded_rows(df, text, order).where("o = k and key <> ''")
+    placed = positions(firsts.withColumn("one", F.lit(1).cast("long")), "o", "one").select("o", "k", "key", F.col("start").alias("i"), F.lit(True).alias("fresh"))
+    return alike_keys(placed, threshold, window, block).select(F.explode("near").alias("a"), F.col("o").alias("b"))
+
+
+def fuzzy_gone(df: DataFrame, text: str, order: str, shared: str, threshold: float = 90.0, window: int = 1000, block: int = 4096) -> DataFrame:
+    """(id, kept_by): the rows that go because a kept row has the same folded key, or one of the last `window` kept rows has
+    one alike. A key that goes isn't remembered: its copies are compared again, and take up no place. Alike keys are
+    found in blocks, a span of rows back; only rows that have any, or that others are alike, then pass in order through
+    one task, which counts the rows kept. Where so many go that the span holds fewer than `window` kept rows, its part
+    beyond the window is doubled, so that nothing within the window is missed."""
+    from tessera.operators.packing import positions
+
+    spark = df.sparkSession
+
+    def out(df: DataFrame, name: str) -> DataFrame:
+        path = f"{shared}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    rows = out(folded_rows(df, text, order), "folded")
+    firsts, copies = rows.where("o = k"), rows.where("o > k").select("o", "k")
+    kind = rows.schema["o"].dataType.simpleString()
+    span = window + max(window // 8, 1)
+    loose = links = None  # loose: keys that may go
+    entries = firsts.select("o", "k", F.lit(True).alias("fresh"))
+    while True:
+        placed = out(positions(entries.withColumn("one", F.lit(1).cast("long")), "o", "one").select("o", "k", F.col("start").alias("i"), "fresh"), "placed")
+        new = out(alike_keys(placed.join(firsts.select("k", "key"), "k"), threshold, span, block), "alike")
+        links = new if links is None else links.unionByName(new)
+        found = new.select("k").distinct()
+        added = out(found if loose is None else found.join(loose, "k", "left_anti"), "added")
+        loose = added if loose is None else loose.unionByName(added)
+        more = copies.join(added, "k", "left_semi").select("o", "k")
+        if more.limit(1).count():  # rows may only move apart, so pairs of old rows are known
+            entries = placed.select("o", "k", F.lit(False).alias("fresh")).unionByName(more.withColumn("fresh", F.lit(True)))
+            continue
+        concerned = loose.unionByName(links.select(F.explode("near").alias("k"))).distinct()
+        waiting = placed.join(concerned, "k", "left_semi").join(links.groupBy("o").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "o", "left")
+        total = placed.count()
+
+        def decide(batches: Iterator[pd.DataFrame], span: int = span, total: int = total) -> Iterator[pd.DataFrame]:
+            kept: dict = {}  # key to the number of rows kept before it and its row
+            gone, recent = 0, deque()
+            for pdf in batches:
+                ids, by, short = [], [], []
+                for o, k, i, near in zip(pdf["o"], pdf["k"], pdf["i"], pdf["near"], strict=True):
+                    rank = i - gone
+                    hits = [kept[k]] if k in kept else [] if near is None else [kept[j] for j in near if j in kept and kept[j][0] >= rank - window]
+                    if not hits:
+                        kept[k] = (rank, o)
+                        continue
+                    gone += 1
+                    recent.append(i)
+                    while recent[0] <= i - span:
+                        recent.popleft()
+                    ids.append(o)
+                    by.append(min(hits)[1])
+                    short.append(total > span and len(recent) > span - window)
+                yield pd.DataFrame({"id": ids, "kept_by": by, "short": short})
+
+        went = out(waiting.select("o", "k", "i", "near").repartition(1).sortWithinPartitions("i").mapInPandas(decide, f"id {kind}, kept_by {kind}, short boolean"), "went")
+        if not went.where("short").limit(1).count():
+            rest = copies.join(loose, "k", "left_anti")
+            return went.select("id", "kept_by").unionByName(rest.select(F.col("o").alias("id"), F.col("k").alias("kept_by")))
+        span += span - window
+        entries, links = placed.select("o", "k", F.lit(True).alias("fresh")), None

@@ -240,8 +240,7 @@ def _(s, d):
 
 @query("ded_fuzzy")
 def _(s, d):
-    links = dedup.fuzzy_links(table(s, d, "corpus_rows"), "text", "row_id")
-    return dedup.greedy(links, shared_dir(s))
+    return dedup.fuzzy_gone(table(s, d, "corpus_rows"), "text", "row_id", shared_dir(s))
 
 
 @query("ded_minhash")

@@ -60,6 +60,33 @@ def test_copies_of_a_near_duplicate_go(spark):
     assert {(r.id, r.kept_by) for r in gone.collect()} == {(i, 1) for i in (2, 3, 4, 5)}
 
 
+def test_fuzzy_window_counts_kept_rows(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    families = [[word() for _ in range(30)] for _ in range(8)]
+    rows = []
+    for i in range(150):
+        if rows and rng.random() < 0.2:
+            t = rng.choice(rows)[1].upper()
+        elif rng.random() < 0.6:
+            t = list(rng.choice(families[: 1 + i // 15]))
+            t[rng.randrange(30)] = word()
+            t = " ".join(t)
+        else:
+            t = rng.choice([" ".join(word() for _ in range(30)), "  "])
+        rows.append((i, t))
+    seen, want = {}, {}  # the sequential rule: keys of kept rows, the last 5 of them compared
+    for i, t in rows:
+        key = " ".join(t.lower().split())
+        by = [seen[key]] if key in seen else [seen[k] for k in list(seen)[-5:] if dedup.lcs_ratio(k, key) >= 90]
+        if by:
+            want[i] = by[0]
+        else:
+            seen[key] = i
+    got = dedup.fuzzy_gone(spark.createDataFrame(rows, "doc_id long, text string"), "text", "doc_id", shared_dir(spark), window=5, block=16)
+    assert {r.id: r.kept_by for r in got.collect()} == want
+
+
 def test_first_rows_and_history(spark):
     df = spark.createDataFrame([(1, "A b"), (2, "a  B"), (3, None), (4, None), (5, "A b")], "doc_id long, text string")
     assert {r.doc_id for r in dedup.exact(df).collect()} == {1, 2, 3}
