@@ -187,6 +187,19 @@ def test_streams(spark, tmp_path):
     assert spark.table("w").count() == 3
 
 
+def test_corpus_drops_near_duplicates_and_repeated_chunks(spark):
+    rng = random.Random(10)
+    text = lambda n: ["".join(rng.sample("abcdefghijklmnop", 6)) for _ in range(n)]
+    first, head = text(60), text(2048 - 60)
+    shifted = [*first[30:], *first[:30]]  # the same 5-grams but for the seam: MinHash sees it, the fuzzy ratio doesn't
+    rows = [first, [*first[:-1], "zyxwvu"], shifted, [*head, *text(60), *first[:5]], [*head, *text(60), *text(2500)]]
+    rows[4][: 2048] = rows[3][: 2048]  # one chunk in common
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    kept = {(r.doc_id, r.chunk_id) for r in presets.corpus(df).collect()}
+    assert kept == {(0, 0), (3, 0), (3, 1), (4, 1), (4, 2)}
+    assert {r.reason: r.n for r in presets.funnel(df).collect()} == {None: 3, "duplicate": 1, "near_duplicate": 1}
+
+
 def test_presets(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     n = {r.reason: r.n for r in presets.funnel(docs).collect()}
