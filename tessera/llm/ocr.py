@@ -279,7 +279,9 @@ def clues(pages: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame, D
             yield pd.DataFrame({"fold": [folded(w) for w in ws], "word": ws, "n": np.full(len(ws), 5, dtype="int64")})
 
     words = read_out.where("what = 'w'")
-    counted = words.groupBy("fold", "word").agg(F.count("*").alias("n")).unionByName(samples.select("text").mapInPandas(known, "fold string, word string, n long")).groupBy("fold", "word").agg(F.sum("n").alias("n"))
+    once = pages.groupBy(F.sha2("text", 256)).agg(F.min("page_id").alias("page_id")).select("page_id")  # a page given again counts once
+    counted = words.join(once, "page_id", "left_semi").select("page_id", "fold", "word").distinct()
+    counted = counted.groupBy("fold", "word").agg(F.count("*").alias("n")).unionByName(samples.select("text").mapInPandas(known, "fold string, word string, n long")).groupBy("fold", "word").agg(F.sum("n").alias("n"))
     counted = written(counted, "words_counted")
     best = counted.where("n > 1").groupBy("fold").agg(F.max(F.struct("n", "word")).alias("top"))
     wrong = counted.join(best, "fold").where("word <> top.word and n * 4 <= top.n").select("word", F.col("top.word").alias("right"))

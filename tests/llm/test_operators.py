@@ -261,3 +261,10 @@ def test_pii_spans_and_round_trip(data):
     for a, b, k in spans[0]:
         back = back.replace(f"<{k.upper()}>", text[a:b], 1)
     assert back == text and pii.masked(None, []) is None
+
+
+def test_a_page_given_again_counts_its_words_once(spark):
+    texts = [f"line {'abcdefghijkl'[i] * 2} of the mountain" for i in range(12)] + ["a view of the rnountain"] * 50
+    pages = spark.createDataFrame([(i, f"d{i}", 1, t) for i, t in enumerate(texts)], "page_id long, document_id string, page_no int, text string")
+    bad = ocr.clues(pages, spark.createDataFrame([], "text string"))[1].where("right is not null").collect()
+    assert {(r.page_id, r.word, r.right) for r in bad} == {(i, "rnountain", "mountain") for i in range(12, 62)}
