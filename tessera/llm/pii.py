@@ -32,7 +32,7 @@ TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Shri", "Smt", "Sri", "Kumari
 LABELS = ("নাম", "মমিং", "নামঃ", "नाम", "ꯃꯃꯤꯡ", "maming", "applicant", "signed", "লেখক", "लेखक", "গতকাল", "कल", "said", "cousin", "aged", "Compiled", "Name", "name")
 _TRIGGER = re.compile(
     r"[@＠]|[\[(]\s?at\s?[\])]|\bat\b[^.\n]{2,40}\bdot\b|[A-ZＡ-Ｚ]{1,5}[ -]?\d{4,7}|\d(?:[\s().\-–‑/]{0,3}\d){5,}"
-    r"|\b(?:" + "|".join(TITLES[:9]) + r")\b\.?\s|(?:" + "|".join(t for t in TITLES[9:]) + r")\.?\s|(?:" + "|".join(x for x in LABELS if not x.isascii()) + r")\b|\b(?:maming|applicant|signed by|[Cc]ompiled by|said|aged|[Nn]ame)\b"
+    r"|\b(?:" + "|".join(TITLES[:9]) + r")\b\.?\s|(?:" + "|".join(t for t in TITLES[9:]) + r")\.?\s|(?:" + "|".join(x for x in LABELS if not x.isascii()) + r")(?:\b|(?!\w))|\b(?:maming|applicant|signed by|[Cc]ompiled by|said|aged|[Nn]ame)\b"
     r"|(?<![A-Za-zÀ-ɏ])(?:[A-Z][a-zÀ-ɏ’'-]+|[A-ZÀ-Þ]{2,}|[A-Z]\.),?\s+(?:[A-Z][a-zÀ-ɏ’'-]+|[A-ZÀ-Þ]{2,}|[A-Z]\.)"
 )
 _GROUP = re.compile(r"[+＋]?[(]?\d(?:[\s().\-–‑/]{0,2}\d)*")

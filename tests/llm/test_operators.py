@@ -268,3 +268,9 @@ def test_a_page_given_again_counts_its_words_once(spark):
     pages = spark.createDataFrame([(i, f"d{i}", 1, t) for i, t in enumerate(texts)], "page_id long, document_id string, page_no int, text string")
     bad = ocr.clues(pages, spark.createDataFrame([], "text string"))[1].where("right is not null").collect()
     assert {(r.page_id, r.word, r.right) for r in bad} == {(i, "rnountain", "mountain") for i in range(12, 62)}
+
+
+def test_every_label_opens_a_stretch():
+    for label in (x for x in pii.LABELS if not x.isascii()):
+        for end in (" ক খ", ": ক খ"):
+            assert pii.spread(f"{label}{end}", {}), label
