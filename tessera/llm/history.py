@@ -3,7 +3,7 @@
 Metric: Levenshtein distance on comparison words; two texts are nearly the same within RATE of the longer one. The bag
 distance (multiset difference of words) is a metric too and at most twice that. Two kinds of fixed pivots:
 
-* sixteen wide pivots: the words of one hash class each. d(x, P_j) differs from d(y, P_j) by at most d(x, y), and over the
+* thirty-two wide pivots: the words of one hash class each. d(x, P_j) differs from d(y, P_j) by at most d(x, y), and over the
   disjoint classes these bounds add up, so a pair is pruned if they exceed twice the allowed edits;
 * narrow pivots: one word pair each. A text lies nearer to those it holds. Two texts within L edits hold all but 2 L of
   each other's, so the first 2 L + 1 of either, in one fixed order, have one in common: these are its table rows, by whose

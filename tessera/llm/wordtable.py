@@ -127,22 +127,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-CLASSES = 16
+CLASSES = 32
+# Codes of counts modulo 4 in two bits, one bit changing from each to the next: how many bits two codes differ in is how
+# far their counts are apart around the circle of four.
+_RING = np.array([0b00, 0b01, 0b11, 0b10], np.uint64)
 
 
 def wide_pivots(values: np.ndarray, row: np.ndarray, texts: int) -> np.ndarray:
-    """Per text, how many of its words lie in each of 16 hash classes, four bits of a number each, modulo 16."""
+    """Per text, how many of its words lie in each of 32 hash classes, a ring code of two bits each."""
     counts = np.bincount(row * CLASSES + (mix(values) % np.uint64(CLASSES)).astype(np.int64), minlength=texts * CLASSES).reshape(-1, CLASSES)
-    return ((counts % 16).astype(np.uint64) << (np.arange(CLASSES, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return (_RING[counts % 4] << (np.arange(CLASSES, dtype=np.uint64) * np.uint64(2))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def within(a: str, b: str, rate: float) -> str:
     """SQL: texts a and b (n, wide) may be within rate of the longer one. Each edit changes the length by one at most and
-    moves two class counts by one at most; counts modulo 16 are no further apart than the counts."""
+    moves two class counts by one at most; ring codes differ in no more bits than the counts are apart."""
     longer = f"greatest({a}.n, {b}.n)"
-    parts = [f"abs((shiftright({a}.wide, {4 * j}) & 15) - (shiftright({b}.wide, {4 * j}) & 15))" for j in range(CLASSES)]
-    gap = " + ".join(f"least({p}, 16 - {p})" for p in parts)
-    return f"abs({a}.n - {b}.n) <= {rate} * {longer} + 1e-9 and ({gap}) <= 2 * floor({rate} * {longer} + 1e-9)"
+    return f"abs({a}.n - {b}.n) <= {rate} * {longer} + 1e-9 and bit_count({a}.wide ^ {b}.wide) <= 2 * floor({rate} * {longer} + 1e-9)"
 
 
 def word_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
