@@ -12,6 +12,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it; a folder of this machine only where none is set (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")

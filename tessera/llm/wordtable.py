@@ -3,6 +3,7 @@ near-duplicate operators, so that texts themselves are never shuffled. Nulls and
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -170,9 +171,20 @@ def word_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return min(int(row[-1]), far)
 
 
-def order_key(batch: str, id_: str) -> Column:
-    """(batch, id) as one number that sorts alike, so that a least one is found by hash aggregation."""
-    return F.expr(f"cast({batch} as decimal(38,0)) * 20000000000000000000BD + cast({id_} as decimal(38,0))")
+_STEP, _SHIFT = "20000000000000000000BD", "9223372036854775808BD"
+
+
+def order_key(upper: str, id_: str) -> Column:
+    """(upper, id) as one number that sorts alike, for any long id, so that a least one is found by hash aggregation."""
+    return F.expr(f"cast({upper} as decimal(38,0)) * {_STEP} + (cast({id_} as decimal(38,0)) + {_SHIFT})")
+
+
+def upper_of(key: str) -> Column:
+    return F.expr(f"cast(floor({key} / {_STEP}) as int)")
+
+
+def id_of(key: str) -> Column:
+    return F.expr(f"cast({key} - floor({key} / {_STEP}) * {_STEP} - {_SHIFT} as bigint)")
 
 
 def distinct_texts(words: DataFrame, *more: Column) -> DataFrame:
@@ -191,25 +203,88 @@ def may_be_near(a: pd.Series, b: pd.Series, rate: float, classes: int = 64) -> n
     return np.abs(sides[0] - sides[1]).sum(axis=1) <= 2 * np.floor(rate * n + 1e-9)
 
 
-def verified(pairs: DataFrame, table: DataFrame, rate: float) -> DataFrame:
+def verified(pairs: DataFrame, table: DataFrame, rate: float, seeds: str | None = None) -> DataFrame:
     """Of written pairs (a, b), those whose word sequences in table (id, seq) are at most floor(rate * longer length)
-    apart, with that distance. The table moves once, joined with the ids asked for."""
+    apart, with that distance. The table moves once, joined with the ids asked for. seeds: column of places in common
+    (place in a << 32 | place in b); the alignment then runs along their chain, and over the whole texts only where the
+    chain alone leaves too many edits."""
     asked = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     need = written(table.select("id", "seq").join(asked.hint("shuffle_hash"), "id"), "asked")
     side = lambda x: need.select(F.col("id").alias(x), F.col("seq").alias(f"seq_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    columns = ["a", "b", "seq_a", "seq_b", *([seeds] if seeds else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[may_be_near(pdf["seq_a"], pdf["seq_b"], rate)]
             d = []
-            for x, y in zip(pdf["seq_a"], pdf["seq_b"], strict=True):
+            for x, y, z in zip(pdf["seq_a"], pdf["seq_b"], pdf[seeds] if seeds else [None] * len(pdf), strict=True):
                 u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
                 limit = int(rate * max(len(u), len(v)) + 1e-9)
-                k = word_distance(u, v, limit)
+                k = limit + 1 if z is None else chain_distance(u, v, z, limit)
+                k = k if k <= limit else word_distance(u, v, limit)
                 d.append(k if k <= limit else -1)
             out = pdf[["a", "b"]].copy()
             out["distance"] = np.array(d, dtype="int32")
             yield out[out["distance"] >= 0]
 
-    return both.mapInPandas(run, "a long, b long, distance int")
+    return both.select(*columns).mapInPandas(run, "a long, b long, distance int")
+
+
+def chain(pa: np.ndarray, pb: np.ndarray) -> list[int]:
+    """Numbers of the seeds of a longest chain that runs forward in both texts, by patience sorting."""
+    tails: list[int] = []
+    at: list[int] = []
+    before = [-1] * len(pa)
+    for k in np.lexsort((-pb, pa)).tolist():  # places in b fall where those in a are equal
+        i = bisect_left(tails, int(pb[k]))
+        tails[i : i + 1], at[i : i + 1] = [int(pb[k])], [k]
+        before[k] = at[i - 1] if i else -1
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return out[::-1]
+
+
+def chain_distance(u: np.ndarray, v: np.ndarray, seeds: np.ndarray, limit: int) -> int:
+    """Edits of the alignment that holds the chain's seeds fixed: each is extended over equal words, the gaps between are
+    aligned alone. No less than the distance; limit + 1 if above the limit."""
+    pa, pb = (np.asarray(seeds) >> 32).astype(int), (np.asarray(seeds) & 0xFFFFFFFF).astype(int)
+    x = y = total = 0
+    for k in chain(pa, pb):
+        a, b = int(pa[k]), int(pb[k])
+        if a < x or b < y:  # inside the stretch before it
+            continue
+        total += word_distance(u[x:a], v[y:b], limit - total)
+        if total > limit:
+            return limit + 1
+        n = min(len(u) - a, len(v) - b)
+        off = np.flatnonzero(u[a : a + n] != v[b : b + n])
+        n = int(off[0]) if len(off) else n
+        x, y = a + n, b + n
+    return min(limit + 1, total + word_distance(u[x:], v[y:], limit - total))
+
+
+SMALL_SHARE, LARGE_SHARE = 5_000, 20_000  # rows of one key on either side that meet in one task; more are split
+
+
+def split_join(x: DataFrame, y: DataFrame, key: str, small: int = SMALL_SHARE, large: int = LARGE_SHARE) -> DataFrame:
+    """x (aliased x, the smaller side) joined with y (aliased y) on a long key; both have id. The rows of a key with more
+    than `small` rows of x or `large` of y meet in a grid of shares, each row standing in one line of it, so that no task
+    gets more than small * large pairs of a key. Counts are taken of all rows of x, and of y for the keys many in x or y."""
+    counted = lambda v, n, name: v.groupBy(key).agg(F.count("*").alias(name)).where(F.col(name) > n)
+    many = written(counted(x, min(small, 100), "cx"), "many")
+    if many.isEmpty():
+        return x.alias("x").join(y.alias("y"), key)
+    both = many.join(y.join(many.select(key), key, "left_semi").groupBy(key).agg(F.count("*").alias("cy")), key)
+    grid = both.select(key, F.ceil(F.col("cx") / small).cast("int").alias("__s"), F.ceil(F.col("cy") / large).cast("int").alias("__l")).where("__s > 1 or __l > 1")
+    grid = written(grid, "grid")
+    if grid.isEmpty():
+        return x.alias("x").join(y.alias("y"), key)
+    one = F.lit(1)
+    s, l = F.coalesce("__s", one), F.coalesce("__l", one)  # noqa: E741
+    left = x.join(grid, key, "left").withColumn("__j", F.explode(F.sequence(F.lit(0), l - 1))).withColumn("__cell", F.pmod(F.xxhash64("id"), s) * l + F.col("__j"))
+    right = y.join(grid, key, "left").withColumn("__i", F.explode(F.sequence(F.lit(0), s - 1))).withColumn("__cell", F.col("__i") * l + F.pmod(F.xxhash64("id"), l))
+    left, right = left.drop("__s", "__l", "__j"), right.drop("__s", "__l", "__i")
+    return left.alias("x").join(right.alias("y"), [key, "__cell"])

@@ -1,6 +1,8 @@
 """The operators against brute force, exact round trips and held-out accuracy, on small fixtures."""
 
 import difflib
+import functools
+import glob
 import random
 
 import numpy as np
@@ -11,7 +13,7 @@ from hypothesis import strategies as st
 
 from tessera.llm import history, language, leakage, lookalike, ocr, overlap, packing, pairs, pii, tokens
 from tessera.llm.textkit import sentences, words
-from tessera.llm.wordtable import word_distance, word_table
+from tessera.llm.wordtable import chain, chain_distance, split_join, word_distance, word_table
 
 
 def read(data, name):
@@ -39,6 +41,13 @@ def test_word_distance_is_levenshtein(a, b, limit):
     assert word_distance(np.array(a), np.array(b), limit) == min(d[-1][-1], limit + 1)
 
 
+def test_split_join_is_the_join(spark):
+    x = spark.createDataFrame([(1, i, i) for i in range(23)] + [(2, 50, 0), (3, 51, 0)], "key long, id long, v int")
+    y = spark.createDataFrame([(1, 100 + i, i) for i in range(17)] + [(2, 200, 0)], "key long, id long, w int")
+    got = sorted((r[0], r[1]) for r in split_join(x, y, "key", small=4, large=5).select("x.id", "y.id").collect())
+    assert got == sorted([(i, 100 + j) for i in range(23) for j in range(17)] + [(50, 200)])
+
+
 # 5 and 6
 def test_new_rows_against_history(spark, data):
     c, i = read(data, "corpus_rows"), read(data, "incoming_rows")
@@ -65,6 +74,48 @@ def test_history_folder_is_appended_to(spark, tmp_path):
     assert [(r.id, r.earlier) for r in h.check(later).collect()] == [(20, 12)]
 
 
+def test_check_reads_only_the_ranges_it_touches(spark, tmp_path):
+    """Files of untouched ranges are damaged: a check that opened one would fail."""
+    rng = random.Random(3)
+    h = history.History(spark, str(tmp_path / "h"), bits=8)
+    schema = "id long, batch int, text string"
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(200)]
+    h.append(spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], schema))
+    asked = texts[7].split()
+    asked[5] = "changed"
+    fresh = spark.createDataFrame([(1000, 1, " ".join(asked)), (1001, 1, texts[9])], schema)
+    want = {(1000, 7, 1), (1001, 9, 0)}
+    assert {tuple(r) for r in h.check(fresh).collect()} == want
+    new = history.unique_texts(history.word_rows(fresh), 8)
+    rows = history.pivot_rows(new, h._order(new), bits=8)
+    ranges = {r[0] for r in rows.select("range").collect()}
+    parts = {r[0] for r in new.select("part").collect()} | {r[0] for r in h._read("texts").where("id = 7").select("part").collect()}
+    met = {r[0] for r in rows.select("key").collect()}
+    parts |= {r["part"] for r in h._read("ranges").collect() if r["key"] in met}
+    damaged = 0
+    for name, kept in (("ranges", ranges), ("texts", parts)):
+        for f in glob.glob(f"{tmp_path}/h/{name}/*/*.parquet"):
+            if int(f.split("/")[-2].split("=")[1]) not in kept:
+                damaged += 1
+                with open(f, "wb") as out:
+                    out.write(b"none")
+    spark.catalog.clearCache()
+    assert damaged > 200
+    assert {tuple(r) for r in h.check(fresh).collect()} == want
+
+
+def test_hot_pivots_are_split(spark, monkeypatch):
+    monkeypatch.setattr(history, "split_join", functools.partial(split_join, small=2, large=3))
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(20)]
+    rows = [(k, 0 if k < 10 else 1, " ".join(base[:10] + [f"y{k}-{j}" for j in range(4 if k % 2 else 2)] + base[10:])) for k in range(40)]
+    t = word_table(spark.createDataFrame(rows, "id long, batch int, text string"), "text", ["id", "batch"])
+    got = {r.id for r in history.repeats(t.where("batch = 0"), t.where("batch = 1")).collect()}
+    w = {k: words(x) for k, _, x in rows}
+    want = {k for k in range(10, 40) if any(word_distance(np.array(w[k]), np.array(w[j]), 99) <= int(0.15 * max(len(w[k]), len(w[j])) + 1e-9) for j in range(k))}
+    assert got == want
+
+
 def test_many_near_copies_are_all_found(spark):
     rng = random.Random(1)
     base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
@@ -93,7 +144,18 @@ def test_overlaps_against_brute_force(spark, data):
 
 def test_chain_runs_forward():
     a, b = np.array([0, 5, 9, 12]), np.array([1, 6, 3, 13])
-    assert overlap.chain(a, b) == 3
+    got = chain(a, b)  # two chains are longest
+    assert got in ([0, 1, 3], [0, 2, 3])
+
+
+@given(st.lists(st.integers(0, 3), max_size=12), st.lists(st.integers(0, 3), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_chain_never_beats_the_distance(a, b):
+    u, v = np.array(a, int), np.array(b, int)
+    seeds = np.array([(i << 32) | j for i in range(len(u)) for j in range(len(v)) if u[i] == v[j]], np.int64)
+    true = word_distance(u, v, 99)
+    assert true <= chain_distance(u, v, seeds, 99) <= max(len(a), len(b), true) + min(len(a), len(b))
+    assert chain_distance(u, u, np.array([(i << 32) | i for i in range(len(u))], np.int64), 99) == 0
 
 
 def test_shared_run_shares_a_fingerprint():
@@ -274,3 +336,38 @@ def test_every_label_opens_a_stretch():
     for label in (x for x in pii.LABELS if not x.isascii()):
         for end in (" ক খ", ": ক খ"):
             assert pii.spread(f"{label}{end}", {}), label
+
+
+def test_near_texts_of_any_length_share_seeds(spark):
+    """Random texts of 4 to 60 words and edited copies: exactly the pairs of brute force, and those of problem 5."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(260):
+        t = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(4, 61) if i % 3 else rng.randrange(4, 20))]
+        rows.append((len(rows), True, " ".join(t)))
+        for _ in range(2):
+            c = list(t)
+            for _ in range(rng.randrange(0, int(0.2 * len(t)) + 2)):
+                at = rng.randrange(len(c))
+                c[at : at + 1] = rng.choice(([], [f"x{rng.randrange(400)}"], [c[at], f"x{rng.randrange(400)}"])) if len(c) > 3 else [c[at]]
+            rows.append((len(rows), False, " ".join(c)))
+    w = [np.array([hash(x) for x in words(t)]) for _, _, t in rows]
+    want = set()
+    for i, (_, ti, _) in enumerate(rows):
+        for j in range(i):
+            limit = int(0.15 * max(len(w[i]), len(w[j])) + 1e-9)
+            if rows[j][1] != ti and word_distance(w[i], w[j], limit) <= limit:
+                want.add((j, i))
+    t = word_table(spark.createDataFrame(rows, "id long, train boolean, text string"), "text", ["id", "train"])
+    classes, links = overlap.overlaps(t)
+    got = {tuple(r) for r in overlap.row_pairs(classes, links).collect()}
+    assert got == want and len(want) > 200
+
+
+def test_very_long_texts_may_overlap(spark):
+    a = [f"w{i}" for i in range(40_000)]
+    b = list(a)
+    b[20_000] = "x"
+    t = word_table(spark.createDataFrame([(1, True, " ".join(a)), (2, False, " ".join(b))], "id long, train boolean, text string"), "text", ["id", "train"])
+    classes, links = overlap.overlaps(t)
+    assert [tuple(r) for r in overlap.row_pairs(classes, links).collect()] == [(1, 2)]
