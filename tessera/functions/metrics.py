@@ -92,3 +92,16 @@ def pair_score(source: Column, target: Column) -> Column:
     ratio = t / s
     score = F.round(F.least(F.greatest(F.lit(0.95) - 0.2 * F.abs(ratio - 1.2), F.lit(0.0)), F.lit(1.0)), 3)
     return F.when((s == 0) | (t == 0), 0.0).when((ratio < 0.25) | (ratio > 4.0), 0.2).otherwise(score)
+
+
+def grade(perplexity: Column, switch_rate: Column, unknown_rate: Column) -> Column:
+    """A+ to C from perplexity, script switches and unknown tokens; B+ where the perplexity is not known."""
+    bad = (unknown_rate > 0.05) | (switch_rate > 0.3) | (perplexity > 100)
+    best = (perplexity <= 20) & (switch_rate < 0.05) & (unknown_rate == 0)
+    return F.when(bad, "C").when(best, "A+").when((perplexity <= 50) & (switch_rate < 0.1), "A").when(perplexity <= 100, "B").otherwise("B+")
+
+
+def pair_valid(source: Column, target: Column) -> Column:
+    """Whether a parallel pair has two sides whose lengths in words are in bounds."""
+    s, t = F.size(words(F.coalesce(source, F.lit("")))), F.size(words(F.coalesce(target, F.lit(""))))
+    return (s > 0) & (t > 0) & F.coalesce(F.try_divide(t, s).between(0.25, 4.0), F.lit(False))

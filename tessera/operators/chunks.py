@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import strip, words
+from tessera.operators.packing import positions
 
 GROUPS = 4096
 
@@ -42,6 +43,12 @@ def ranked(df: DataFrame, by: list[Column], name: str = "rank") -> DataFrame:
     return grouped.join(F.broadcast(starts), "__g").withColumn(name, F.col("__s") + place).drop("__g", "__s")
 
 
+def hash_order(key: str, seed: int) -> list:
+    """A fixed order that looks like chance: by the first 60 bits of the MD5 of seed and key, then the key."""
+    digits = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))), 1, 15)
+    return [F.conv(digits, 16, 10).cast("long") * 8, F.col(key)]
+
+
 def split_rows(df: DataFrame, key: str, train: float = 0.98, validation: float = 0.01, test: float = 0.01, seed: int = 42) -> DataFrame:
     """df with a split column of exact sizes, in hash order of the key: test first, validation of the rest, then train. All
     train for fewer than three rows. Ratios are taken in relation to their sum."""
@@ -49,24 +56,40 @@ def split_rows(df: DataFrame, key: str, train: float = 0.98, validation: float =
     n = df.count()
     n_test = int(-(-n * test // total)) if n >= 3 and test > 0 else 0
     n_validation = int(-(-n * validation // total)) if n >= 3 and validation > 0 else 0
-    rows = ranked(df, [F.xxhash64(F.lit(seed), key), F.col(key)], "__r")
+    rows = ranked(df, hash_order(key, seed), "__r")
     return rows.withColumn("split", F.when(F.col("__r") <= n_test, "test").when(F.col("__r") <= n_test + n_validation, "validation").otherwise("train")).drop("__r")
 
 
 def sharded(df: DataFrame, order: str, size: int = 10_000, by: str | None = None) -> DataFrame:
     """df with shard number and row in shard, by split if `by` is given, in the order of a unique number."""
-    part = [F.col(by)] if by else [F.lit(0)]
-    groups = F.floor(F.col(order) / size)
-    sizes = df.groupBy(*[p.alias("__p") for p in part], groups.alias("__g")).agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__s", F.coalesce(F.sum("__n").over(Window.partitionBy("__p").orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    rows = df.withColumn("__p", part[0]).withColumn("__g", groups).join(before, ["__p", "__g"])
-    place = F.col("__s") + F.row_number().over(Window.partitionBy("__p", "__g").orderBy(order)) - 1
-    return rows.withColumn("shard", F.floor(place / size)).withColumn("shard_row", (place % size)).drop("__p", "__g", "__s")
+    rows = positions(df.withColumn("__one", F.lit(1)), order, "__one", by, "__place").drop("__one")
+    return rows.withColumn("shard", F.floor(F.col("__place") / size)).withColumn("shard_row", F.col("__place") % size).drop("__place")
 
 
 def fingerprint(hashes: DataFrame, column: str) -> DataFrame:
-    """One row: the hash of all rows' hashes, whatever their order. Rows are hashed in groups by their first byte first, so
-    that only 256 values come together."""
-    groups = hashes.groupBy(F.substring(column, 1, 2).alias("g")).agg(F.count("*").alias("n"), F.sum(F.conv(F.substring(column, 1, 8), 16, 10).cast("long")).alias("a"), F.sum(F.conv(F.substring(column, 9, 8), 16, 10).cast("long")).alias("b"))
-    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "n", "a", "b"))), lambda x: F.concat_ws(":", x["g"], x["n"], x["a"], x["b"])), ",")
-    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.sha2(line, 256).alias("fingerprint"))
+    """One row: the number of rows and the hash of all rows' hex hashes, whatever their order. Equal hashes are counted
+    first; the sorted ones of a group (first five digits) are hashed, then the groups' hashes by their first two digits,
+    then those, so that no list grows with one hash, nor any beyond its share of the different ones."""
+    lines = hashes.groupBy(F.col(column).alias("h")).agg(F.count("*").alias("n")).where("h is not null")
+    joined = lambda x: F.sha2(F.array_join(F.array_sort(F.collect_list(x)), ","), 256).alias("h")
+    groups = lines.groupBy(F.substring("h", 1, 5).alias("g")).agg(F.sum("n").alias("n"), joined(F.concat_ws(":", "h", F.col("n").cast("string"))))
+    some = groups.groupBy(F.substring("g", 1, 2).alias("g")).agg(F.sum("n").alias("n"), joined(F.concat_ws(":", "g", "h")))
+    return some.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), joined(F.concat_ws(":", "g", "h")).alias("fingerprint"))
+
+
+def task_split(df: DataFrame, key: str, train: float = 0.90, validation: float = 0.05, test: float = 0.05, seed: int = 42) -> DataFrame:
+    """df with a split column: floor(n * train) rows of train, at least one of validation, the rest test, of three rows
+    two and one; in hash order of the key. Of fewer rows each is in all three. Ratios must sum to one."""
+    if round(train + validation + test, 4) != 1.0:
+        raise ValueError("the ratios must sum to 1.0")
+    n = df.count()
+    if n < 3:
+        return df.withColumn("split", F.explode(F.array(F.lit("train"), F.lit("validation"), F.lit("test"))))
+    first = int(n * train)
+    last = first + max(1, int(n * validation))
+    if first == n:
+        first, last = n - 2, n - 1
+    elif last >= n:
+        last = n - 1
+    rows = ranked(df, hash_order(key, seed), "__r")
+    return rows.withColumn("split", F.when(F.col("__r") <= first, "train").when(F.col("__r") <= last, "validation").otherwise("test")).drop("__r")

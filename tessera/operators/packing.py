@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP = 8192
+GROUPS = 1 << 16
 
 
-def positions(df: DataFrame, order: str, length: str, by: str | None = None) -> DataFrame:
-    """df with start, the sum of the lengths before each row in the order of a unique number: sums of groups of rows first,
-    then within each group, so no task sees more than one group."""
-    part = F.col(by) if by else F.lit(0)
-    rows = df.withColumn("__p", part).withColumn("__g", F.floor(F.col(order) / GROUP))
-    sums = rows.groupBy("__p", "__g").agg(F.sum(length).alias("__n"))
-    before = sums.withColumn("__s", F.coalesce(F.sum("__n").over(Window.partitionBy("__p").orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    own = F.coalesce(F.sum(length).over(Window.partitionBy("__p", "__g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(before, ["__p", "__g"]).withColumn("start", F.col("__s") + own).drop("__p", "__g", "__s")
+def groups(df: DataFrame, order: str, many: int = GROUPS) -> Column:
+    """At most `many` groups of rows that follow the order of a number, of like size if it is spread evenly, whether dense
+    or hashed: its place between least and most. Rows without the number are a group before all others."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    if low is None or low == high:
+        return F.when(F.col(order).isNull(), -1).otherwise(0)
+    at = (F.col(order).cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low)) * many
+    return F.when(F.col(order).isNull(), -1).otherwise(F.floor(at).cast("int"))
+
+
+def positions(df: DataFrame, order: str, length: str, by: str | None = None, name: str = "start") -> DataFrame:
+    """df with `name`, the sum of the lengths before each row in the order of a unique number: sums of groups of rows first,
+    then within each group, so no task sees more than one group. Rows whose `by` is null are taken together."""
+    part = (F.col(by).isNotNull(), F.coalesce(F.col(by).cast("string"), F.lit(""))) if by else (F.lit(True), F.lit(""))
+    rows = df.withColumn("__q", part[0]).withColumn("__p", part[1]).withColumn("__g", groups(df, order))
+    sums = rows.groupBy("__q", "__p", "__g").agg(F.sum(length).alias("__n"))
+    before = sums.withColumn("__s", F.coalesce(F.sum("__n").over(Window.partitionBy("__q", "__p").orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    own = F.coalesce(F.sum(length).over(Window.partitionBy("__q", "__p", "__g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(before, ["__q", "__p", "__g"]).withColumn(name, F.col("__s") + own).drop("__q", "__p", "__g", "__s")
 
 
 def pieces(df: DataFrame, order: str, ids: str, block: int, by: str | None = None) -> DataFrame:

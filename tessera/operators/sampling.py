@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.packing import positions
+
 from tessera.functions.text import strip
 
 
@@ -41,7 +43,8 @@ def quota(df: DataFrame, shares: DataFrame, source: str, key: str, n: int, seed:
 
 def round_robin(df: DataFrame, source: str, order: str) -> DataFrame:
     """df with turn: the row's number within its source; sorted by turn and source it takes the sources in rotation."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(source).orderBy(order)))
+    rows = positions(df.withColumn("__one", F.lit(1)), order, "__one", source, "__before").drop("__one")
+    return rows.withColumn("turn", (F.col("__before") + 1).cast("int")).drop("__before")
 
 
 def acquisition(df: DataFrame, by: list[str], text: str = "text") -> DataFrame:

@@ -57,3 +57,21 @@ def tier(size: Column) -> Column:
 def valid_rows(ids: Column, mask: Column, labels: Column, longest: int) -> Column:
     n = F.size(ids)
     return (n > 0) & (n <= longest) & (F.size(mask) == n) & (labels.isNull() | (F.size(labels) == n))
+
+
+def preservation(unknown_rate: Column) -> Column:
+    """How much of the script survives: one less twice the unknown rate, at least none."""
+    return F.greatest(1.0 - 2.0 * unknown_rate, F.lit(0.0))
+
+
+def boundary_quality(tokens: Column, words: Column, indic: Column) -> Column:
+    """How well words are cut, by tokens a word; 0.85 for text without Indic letters, 1 for none at all."""
+    r = F.try_divide(tokens, words)
+    step = F.when(r <= 2.2, 1.0).when(r <= 3.0, 0.9).when(r <= 3.5, 0.8).when(r <= 5.0, 0.6).otherwise(0.35)
+    return F.when((F.coalesce(words, F.lit(0)) == 0) | (F.coalesce(tokens, F.lit(0)) == 0), 1.0).when(~indic, 0.85).otherwise(step)
+
+
+def trainable(df: DataFrame, by: list[str], text: str = "text", rows: int = 100, chars: int = 10_000) -> DataFrame:
+    """Per group, whether there is enough text to train on: so many rows that aren't blank, and so many characters."""
+    full = df.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "")
+    return full.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(F.length(text)).alias("chars")).withColumn("trainable", (F.col("rows") >= rows) & (F.col("chars") >= chars))

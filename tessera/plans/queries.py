@@ -163,7 +163,7 @@ def _(s, d):
 
 
 DOM = """select doc_id, case when tot = 0 then 'unknown' when second / tot > 0.15 then 'mixed' when m = top then 'meitei' when b = top then 'bengali' when v = top then 'devanagari' else 'latin' end as script,
- case when tot = 0 then 0.0 else top / tot end as confidence from (select *, m + b + v + x as tot, greatest(m, b, v, x) as top, list_sort([m, b, v, x])[3] as second from (select doc_id, """ + ", ".join(f"{count(T, p)} as {n}" for n, p in (("m", MEITEI), ("b", BENGALI), ("v", DEVANAGARI), ("x", LATIN))) + " from documents))"
+ case when tot = 0 then 0.0 when second / tot > 0.15 then top / tot else round(top / tot, 4) end as confidence from (select *, m + b + v + x as tot, greatest(m, b, v, x) as top, list_sort([m, b, v, x])[3] as second from (select doc_id, """ + ", ".join(f"{count(T, p)} as {n}" for n, p in (("m", MEITEI), ("b", BENGALI), ("v", DEVANAGARI), ("x", LATIN))) + " from documents))"
 
 
 @query("scr_dominant", DOM)
@@ -196,9 +196,8 @@ def _(s, d):
 
 
 MAYEK = T
-for _k, _v in script.SEVERAL.items():
-    MAYEK = f"replace({MAYEK}, '{_k}', '{_v}')"
-MAYEK = f"translate({MAYEK}, '{''.join(p[0] for p in script.PAIRS)}', '{''.join(p[1] for p in script.PAIRS)}')"
+for _k in sorted(script.MAYEK, key=len, reverse=True):
+    MAYEK = f"replace({MAYEK}, '{_k}', '{script.MAYEK[_k]}')"
 
 
 @query("trl_mayek", f"select doc_id, {MAYEK} as text from documents where text is not null")
@@ -290,7 +289,10 @@ def _(s, d):
     return chunks.chunked(docs(s, d).select("doc_id", "text"), "text", 500, 50, "chars").select("doc_id", "chunk_id", "total_chunks", "text")
 
 
-@query("spl_ratio")
+SHUFFLED = "select doc_id, row_number() over (order by substr(md5('42-' || doc_id), 1, 15), doc_id) as r, count(*) over () as n from documents"
+
+
+@query("spl_ratio", f"select doc_id, case when r <= ceil(n * 0.05::double) then 'test' when r <= 2 * ceil(n * 0.05::double) then 'validation' else 'train' end as split from ({SHUFFLED})")
 def _(s, d):
     return chunks.split_rows(docs(s, d).select("doc_id"), "doc_id", 0.9, 0.05, 0.05)
 
@@ -300,6 +302,11 @@ def _(s, d):
     return chunks.split_rows(docs(s, d).select("doc_id"), "doc_id", 0.9, 0.05, 0.05).groupBy("split").agg(F.count("*").alias("n"))
 
 
+@query("spl_task", f"select doc_id, case when r <= floor(n * 0.9::double) then 'train' when r <= floor(n * 0.9::double) + greatest(1, floor(n * 0.05::double)) then 'validation' else 'test' end as split from ({SHUFFLED})")
+def _(s, d):
+    return chunks.task_split(docs(s, d).select("doc_id"), "doc_id")
+
+
 @query("shd_rows", "select row_id, split, ((row_number() over (partition by split order by row_id) - 1) // 1000)::bigint as shard, ((row_number() over (partition by split order by row_id) - 1) % 1000)::bigint as shard_row from corpus_rows")
 def _(s, d):
     return chunks.sharded(table(s, d, "corpus_rows").select("row_id", "split"), "row_id", 1000, "split").select("row_id", "split", F.col("shard").cast("long"), F.col("shard_row").cast("long"))
@@ -395,10 +402,10 @@ def _(s, d):
     return docs(s, d).where(F.col("script").isin("meitei", "bengali") & (F.length("text") > 0) & (share > 0.35)).select("doc_id").orderBy("doc_id").limit(10)
 
 
-@query("aud_repetitive", f"select doc_id from (select doc_id, w, count(*) as n, sum(count(*)) over (partition by doc_id) as t from (select doc_id, unnest({words('lower(' + T + ')')}) as w from documents) group by doc_id, w) where t > 15 and n / t > 0.2 group by doc_id")
+@query("aud_repetitive", f"select doc_id from (select doc_id, w, count(*) as n, sum(count(*)) over (partition by doc_id) as t from (select doc_id, unnest({words('lower(' + T + ')')}) as w from documents) group by doc_id, w) where t > 15 and n / t > 0.6 group by doc_id")
 def _(s, d):
     c = stats.token_rows(docs(s, d), "text", ["doc_id"]).groupBy("doc_id", "token").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("t"), F.max("n").alias("top"))
-    return c.where("t > 15 and top / t > 0.2").select("doc_id")
+    return c.where("t > 15 and top / t > 0.6").select("doc_id")
 
 
 @query("aud_vocabulary", f"with t as (select doc_id, source, unnest({words('lower(' + T + ')')}) as w from documents), f as (select w, min(doc_id) as first from t group by w), l as (select source, max(doc_id) as last from documents group by source) select source, (select count(*) from f where first <= last) as vocabulary from l")
@@ -421,10 +428,10 @@ def _(s, d):
     return stats.histogram(docs(s, d), text.word_count(F.col("text")))
 
 
-@query("his_summary", f"select max(n)::bigint as most, min(n)::bigint as least, sum(n)::bigint as tokens, count(*) filter (where n >= 512) as truncated from (select {nwords(T)} as n from documents)")
+@query("his_summary", f"select max(n)::bigint as most, min(n)::bigint as least, sum(n)::bigint as tokens, round(avg(n), 2) as average, count(*) filter (where n >= 512) as truncated from (select {nwords(T)} as n from documents)")
 def _(s, d):
     n = text.word_count(F.col("text")).cast("long")
-    return docs(s, d).select(n.alias("n")).agg(F.max("n").alias("most"), F.min("n").alias("least"), F.sum("n").alias("tokens"), F.count_if(F.col("n") >= 512).alias("truncated"))
+    return docs(s, d).select(n.alias("n")).agg(F.max("n").alias("most"), F.min("n").alias("least"), F.sum("n").alias("tokens"), F.round(F.avg("n"), 2).alias("average"), F.count_if(F.col("n") >= 512).alias("truncated"))
 
 
 # tokenizers
@@ -462,11 +469,23 @@ def _(s, d):
     return seen.join(held, "c", "left").agg(F.count("*").alias("characters"), F.count("h").alias("covered"))
 
 
-@query("tok_boundaries", f"select doc_id, case when script not in ('meitei', 'bengali') or script is null then 0.85 when r <= 2.2 then 1.0 when r <= 3 then 0.9 when r <= 3.5 then 0.8 when r <= 5 then 0.6 else 0.35 end::double as quality from (select doc_id, script, length({T}) / greatest({nwords(T)}, 1)::double as r from documents)")
+@query("tok_boundaries")
 def _(s, d):
-    r = F.coalesce(F.length("text"), F.lit(0)) / F.greatest(text.word_count(F.col("text")), F.lit(1))
-    step = metrics.band(r, ((2.2, "1.0"), (3.0, "0.9"), (3.5, "0.8"), (5.0, "0.6")), "0.35").cast("double")
-    return docs(s, d).select("doc_id", F.when(F.coalesce(F.col("script").isin("meitei", "bengali"), F.lit(False)), step).otherwise(F.lit(0.85)).alias("quality"))
+    rows = docs(s, d).select("doc_id", "text", text.word_count(F.col("text")).alias("w"), F.coalesce(F.col("text").rlike(quality.INDIC), F.lit(False)).alias("indic"))
+    got = pieces.encoded(spread(rows), "text", table(s, d, "vocab_pieces"), ["doc_id", "w", "indic"])
+    return got.select("doc_id", tokenizers.boundary_quality(F.size("input_ids"), F.col("w"), F.col("indic")).alias("quality"))
+
+
+@query("tok_preservation")
+def _(s, d):
+    f = tokenizers.fitness(fit_rows(s, d, "script"), "script", table(s, d, "vocab_pieces").count())
+    return f.select("script", tokenizers.preservation(F.col("unknown_rate")).alias("preservation"), F.col("fertility").alias("inflation"))
+
+
+@query("his_ids")
+def _(s, d):
+    ids = pieces.encoded(spread(docs(s, d).select("doc_id", "text")), "text", table(s, d, "vocab_pieces"), ["doc_id"]).select(F.explode("input_ids").alias("id"))
+    return ids.groupBy("id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "id").limit(20)
 
 
 @query("tok_stability", f"with t as (select distinct split, unnest({words('lower(' + T + ')')}) as w from corpus_rows), n as (select split, count(*) as n from t group by split) select a.split as a, b.split as b, count(*) / (na.n + nb.n - count(*))::double as jaccard from t a join t b on a.w = b.w and a.split < b.split join n na on na.split = a.split join n nb on nb.split = b.split group by a.split, b.split, na.n, nb.n")
@@ -503,16 +522,6 @@ def _(s, d):
 
 
 # conversations
-MSG = "case when coalesce(" + strip("input") + ", '') = '' then instruction else instruction || chr(10) || chr(10) || input end"
-QWEN = f"'<|im_start|>system' || chr(10) || 'You are a helpful assistant.<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || {strip(MSG)} || '<|im_end|>' || chr(10) || case when {strip('coalesce(output, chr(32))')} = '' then '' else '<|im_start|>assistant' || chr(10) || {strip('output')} || '<|im_end|>' || chr(10) end"
-
-
-@query("cht_qwen", f"select pair_id, {QWEN} as chat from instructions where {strip('coalesce(' + MSG + ', chr(32))')} <> ''")
-def _(s, d):
-    m = chat.from_instruction(F.col("instruction"), F.col("input"), F.col("output"))
-    return table(s, d, "instructions").select("pair_id", m.alias("m")).where("m is not null").select("pair_id", chat.rendered(F.col("m"), "qwen").alias("chat"))
-
-
 @query("prm_instruction", f"select pair_id, '### Instruction:' || chr(10) || instruction || case when coalesce({strip('input')}, '') = '' then '' else chr(10) || chr(10) || '### Input:' || chr(10) || input end || chr(10) || chr(10) || '### Response:' || chr(10) || coalesce(output, '') as prompt from instructions")
 def _(s, d):
     return table(s, d, "instructions").select("pair_id", chat.prompt("instruction", F.col("instruction"), F.col("input"), F.col("output")).alias("prompt"))
@@ -659,10 +668,10 @@ def _(s, d):
     return sampling.round_robin(docs(s, d), "source", "doc_id").select("doc_id", "turn")
 
 
-@query("str_acquired", f"select source, language, count(*) as rows, sum(strlen(text))::bigint as bytes, sum({nwords(T)})::bigint as words from documents group by source, language")
+@query("str_acquired", f"select source, language, count(*) as rows, sum(strlen(text))::bigint as bytes, sum({nwords(T)})::bigint as words, round(sum({nwords(T)}) / count(*)::double, 1) as average, round(count(*) / (sum(count(*)) over ())::double, 4) as share from documents group by source, language")
 def _(s, d):
     rows = docs(s, d).select("source", "language", "text", text.word_count(F.col("text")).alias("w"))
-    return rows.groupBy("source", "language").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"), F.sum("w").alias("words"))
+    return rows.groupBy("source", "language").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"), F.sum("w").alias("words"), F.round(F.sum("w") / F.count("*"), 1).alias("average")).withColumn("share", F.round(F.col("rows") / F.sum("rows").over(Window.partitionBy()), 4))
 
 
 @query("src_scan_gates", "select page_id, case when quality is null or quality = 0 then 1.0 else quality / 100 end::double as quality_score from ocr_pages where (ocr_confidence is null or ocr_confidence >= 50) and (quality is null or quality >= 65)")

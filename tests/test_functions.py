@@ -89,3 +89,24 @@ def test_metrics(spark):
 def test_pair_score(spark):
     df = spark.createDataFrame([("a b c d", "x"), ("a b c d e", "x"), ("a", "w x y z"), ("", "x"), (None, None), ("a b c d e", "u v w x y z")], "a string, b string")
     assert [r.s for r in df.select(metrics.pair_score(F.col("a"), F.col("b")).alias("s")).collect()] == [0.76, 0.2, 0.39, 0.0, 0.0, 0.95]
+
+
+def test_templates_and_formats(spark):
+    from tessera.operators import chunks, tokenizers
+
+    df = spark.sql("select array(struct('user' as role, 'hi' as content), struct('assistant' as role, 'yo' as content)) as m")
+    got = {t: df.select(chat.rendered(F.col("m"), t).alias("x")).first().x for t in chat.TEMPLATES}
+    assert got["mistral"] == "[INST] hi [/INST] yo</s>"
+    assert got["generic"] == "<user>\nhi\n<assistant>\nyo\n"
+    assert df.select(chat.plainly(F.col("m")).alias("x")).first().x == "<user>\nhi\n<assistant>\nyo"
+    steps = spark.createDataFrame([(22, 10, True), (30, 10, True), (35, 10, True), (50, 10, True), (51, 10, True), (9, 3, False), (0, 0, True)], "t int, w int, i boolean")
+    assert [r[0] for r in steps.select(tokenizers.boundary_quality(F.col("t"), F.col("w"), F.col("i"))).collect()] == [1.0, 0.9, 0.8, 0.6, 0.35, 0.85, 1.0]
+    small = chunks.task_split(spark.range(2), "id")
+    assert small.count() == 6 and small.groupBy("id").count().where("count = 3").count() == 2
+    assert {r.split: r["count"] for r in chunks.task_split(spark.range(3), "id").groupBy("split").count().collect()} == {"train": 2, "test": 1}
+    sizes = {r.split: r["count"] for r in chunks.task_split(spark.range(40), "id").groupBy("split").count().collect()}
+    assert sizes == {"train": 36, "validation": 2, "test": 2}
+    one = chunks.fingerprint(spark.sql("select sha2(cast(id % 7 as string), 256) as h from range(50)"), "h").first()
+    two = chunks.fingerprint(spark.sql("select sha2(cast(id % 7 as string), 256) as h from range(50) order by -id"), "h").first()
+    three = chunks.fingerprint(spark.sql("select sha2(cast(id % 7 as string), 256) as h from range(49)"), "h").first()
+    assert one == two and one.fingerprint != three.fingerprint and one.rows == 50

@@ -4,6 +4,7 @@ import math
 
 import pytest
 
+import tessera.plans.tasks  # noqa: F401
 from tessera.plans.queries import QUERIES, SQL
 
 duckdb = pytest.importorskip("duckdb")
