@@ -168,6 +168,27 @@ def test_shared_run_shares_a_fingerprint():
 
 
 # 4
+def test_dominant_script_decides(spark):
+    df = spark.createDataFrame(
+        [
+            (1, "сор и вор"),  # Cyrillic alone stays, though its look is a Latin word's
+            (2, "the cop and mother"),
+            (3, "мaма мыла раму"),  # a Latin letter in a Cyrillic word
+            (4, "мама мыла раму"),
+            (5, "the сор and mоthеr"),  # a token of look-alikes in a Latin text, and mixed ones
+            (6, "the xоz"),  # no word of the corpus
+            (7, "κόσμoς φως"),  # a Latin letter in a Greek word
+            (8, "κόσμος φως"),
+        ],
+        "doc_id long, text string",
+    )
+    form = {r.doc_id: r.form for r in lookalike.one_form(df, "doc_id", "text").collect()}
+    assert form[1] == "сор и вор" and form[3] == form[4] == "мама мыла раму" and form[5] == "the cop and mother" and form[6] == "the xоz" and form[7] == form[8]
+    many = spark.createDataFrame([(i, "full wіdth" if i % 3 else "full width") for i in range(90)] + [(100, "width")], "doc_id long, text string")
+    got = {tuple(r) for r in lookalike.p4_pairs(lookalike.one_form(many, "doc_id", "text")).collect()}
+    assert got == {(i, j) for i in range(90) for j in range(i + 1, 90) if (i % 3 == 0) != (j % 3 == 0)}
+
+
 def test_look_alikes_become_one_form(spark):
     rows = [(1, "The cat sat"), (2, "The cаt sat"), (3, "Ｔｈｅ cat sat"), (4, "The cat​ sat"), (5, "The cat\u00a0sat"), (6, "the cat sat"), (7, "The cat  sat"), (8, None), (9, "..."), (10, "．．．"), (11, "café x²"), (12, "cafe\u0301 x²"), (13, "cafe x2"), (14, "The cat sat")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
