@@ -20,6 +20,8 @@ from tessera.llm.textkit import words
 from tessera.llm.wordtable import mix
 
 MASKS = ("11011", "1101011", "1011101", "11100111")
+WHOLE = ("1", "11", "111", "1111")  # of items shorter than any mask: all their words
+CELLS = 4_000_000  # of a match matrix
 SHARE = 0.45  # half, less what a changed word at its edge takes away
 MISMATCH = -3  # a match scores 1: a stretch goes on over a changed word once three words around it agree
 BLOCK = 20_000  # items broadcast at once; with the words of one, below 100 MB
@@ -57,7 +59,9 @@ class Items:
         self.start = np.concatenate([[0], np.cumsum(self.length)])[:-1].astype(int)
         self.flat = np.array([x for y in lists for x in y], np.int64)
         row = np.repeat(np.arange(len(lists)), self.length)
-        got = [seeds(self.flat, row, m) for m in MASKS]
+        self.masks = MASKS + tuple(m for m in WHOLE if (self.length == len(m)).any())
+        got = [seeds(self.flat, row, m) for m in self.masks]
+        got = [(at, h) if m in MASKS else (at[k := self.length[row[at]] == len(m)], h[k]) for m, (at, h) in zip(self.masks, got, strict=True)]
         at, h = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
         order = np.argsort(h, kind="stable")
         self.seed, self.at = h[order], at[order]
@@ -91,7 +95,7 @@ def leaks(texts: list[str | None], items: Items, share: float = SHARE) -> tuple[
     row = np.repeat(np.arange(len(lists)), length)
     first = np.concatenate([[0], np.cumsum(length)])[:-1]
     pa, pi = [], []
-    for mask in MASKS:
+    for mask in items.masks:
         at, h = seeds(ids, row, mask)
         lo, hi = np.searchsorted(items.seed, h), np.searchsorted(items.seed, h, side="right")
         hit = np.flatnonzero(hi > lo)
@@ -104,9 +108,11 @@ def leaks(texts: list[str | None], items: Items, share: float = SHARE) -> tuple[
     r, q = row[a], items.row[i]
     diagonal = (a - first[r]) - (i - items.start[q])
     keys = np.unique(np.stack([r, q, diagonal]), axis=1)
+    keys = keys[:, np.argsort(items.length[keys[1]], kind="stable")]  # like lengths together
     out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    for s in range(0, keys.shape[1], 200_000):
-        r, q, d = keys[:, s : s + 200_000]
+    size = np.cumsum(items.length[keys[1]]) // CELLS
+    for s, e in zip(*(lambda x: (x[:-1], x[1:]))(np.concatenate([np.flatnonzero(np.diff(size, prepend=-1)), [keys.shape[1]]])), strict=True):
+        r, q, d = keys[:, s:e]
         col = np.arange(items.length[q].max())
         here = col[None, :] < items.length[q][:, None]
         p = col[None, :] + d[:, None]
@@ -136,14 +142,14 @@ def leaks(texts: list[str | None], items: Items, share: float = SHARE) -> tuple[
 
 
 def leaked(docs: DataFrame, doc_id: str, text: str, bench: DataFrame, share: float = SHARE) -> DataFrame:
-    """Rows (doc_id, item_id, covered). Null and blank texts on either side hold and leak nothing; every item id of a
+    """Rows (doc_id, item_id, covered), once for each text under an id. Null and blank texts on either side hold and leak nothing; every item id of a
     passage counts; a document given twice comes out twice."""
     spark = docs.sparkSession
-    rows = bench.select(F.col("item_id").cast("long"), "text").where("text is not null").orderBy("item_id")
+    rows = bench.select(F.col("item_id").cast("long"), "text", F.sha2("text", 256).alias("h")).where("text is not null").distinct().orderBy("item_id", "h")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text")).where(F.col("__text").isNotNull())
     out, low = None, None
     while True:
-        block = (rows if low is None else rows.where(F.col("item_id") > low)).limit(BLOCK).collect()
+        block = (rows if low is None else rows.where((F.col("item_id") > low[0]) | ((F.col("item_id") == low[0]) & (F.col("h") > low[1])))).limit(BLOCK).collect()
         if not block and out is not None:
             return out
         held = spark.sparkContext.broadcast(Items([b[0] for b in block], [b[1] for b in block]))
@@ -157,11 +163,11 @@ def leaked(docs: DataFrame, doc_id: str, text: str, bench: DataFrame, share: flo
         out = part if out is None else out.unionByName(part)
         if len(block) < BLOCK:
             return out
-        low = block[-1][0]
+        low = block[-1][0], block[-1][2]
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:
-    return leaked(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "bench_items")).select("doc_id", "item_id")
+    return leaked(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "bench_items")).select("doc_id", "item_id").distinct()
 
 
 def p9_report(spark, sf_dir: str) -> DataFrame:

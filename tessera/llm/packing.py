@@ -1,9 +1,11 @@
 """Problem 8: filling fixed-capacity containers by vector best-fit.
 
-A container has three capacities: tokens, documents and attention cost (sum of squared lengths). An item goes to the open
-container that all three allow and whose residual vector, in shares of the capacities, has the largest weighted dot product
-with the item's, or the least residual norm after it. Items are dealt by hash into blocks of bounded size, packed block by
-block from the largest item down; what is left in containers below GOOD is dealt again in fewer blocks."""
+A container has three capacities: tokens, documents (seq_len / 16 by default) and attention cost, the sum of squared lengths
+(0.9 of seq_len squared by default). An item goes to the open container that all three allow and whose residual vector, in
+shares of the capacities, has the largest weighted dot product with the item's, or the least residual norm after it. An
+item that alone exceeds the attention capacity has a container to itself. Items are dealt by hash into blocks of bounded
+size, packed block by block from the largest item down; what is left in containers below GOOD is dealt again in fewer
+blocks."""
 
 from __future__ import annotations
 
@@ -17,7 +19,8 @@ from tessera.llm.tokens import counted, piece_counter
 
 BLOCK = 4096  # items packed in one task at once
 GOOD = 0.98
-CAPACITIES = 1000  # of a stated list, at most
+CAPACITIES = 1000  # of a stated list; more are an error
+DOCUMENTS, ATTENTION = 16, 0.9
 EOS = 1  # tokens that end each item
 WEIGHTS = (1.0, 0.05, 0.1)
 
@@ -31,6 +34,7 @@ def best_fit(size: np.ndarray, capacity: int, documents: int, attention: float,
     room = np.ones((max(1, len(size)), 3))
     used = 0
     lo = 0  # containers before this one are full
+    need = np.minimum(need, 1.0)  # an item above a capacity takes it all
     for i in np.argsort(-size, kind="stable"):
         r = room[lo:used]
         fits = (r >= need[i] - 1e-12).all(axis=1)
@@ -43,7 +47,7 @@ def best_fit(size: np.ndarray, capacity: int, documents: int, attention: float,
             used += 1
         room[k] -= need[i]
         out[i] = k
-        while lo < used and room[lo, 0] < 1e-9:
+        while lo < used and room[lo].min() < 1e-9:
             lo += 1
     return out
 
@@ -52,15 +56,17 @@ def pieces(sizes: DataFrame, packs: DataFrame) -> DataFrame:
     """(seq_len, doc_id, part, tokens): every item once per capacity; only those above it are cut, into full containers and
     a rest. Items of no token are left out."""
     items = sizes.where("tokens > 0").withColumn("whole", F.col("tokens") + EOS)
-    caps = sorted({int(r[0]) for r in packs.where("seq_len > 1").select("seq_len").distinct().limit(CAPACITIES).collect()})
+    caps = sorted({int(r[0]) for r in packs.where("seq_len > 1").select("seq_len").distinct().limit(CAPACITIES + 1).collect()})
+    if len(caps) > CAPACITIES:
+        raise ValueError(f"more than {CAPACITIES} capacities")
     both = items.withColumn("seq_len", F.explode(F.array(*[F.lit(c) for c in caps]).cast("array<int>")))
     cut = both.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("whole") - 1) / F.col("seq_len")).cast("int"))))
     return cut.select("seq_len", "doc_id", "part", F.least(F.col("seq_len").cast("long"), F.col("whole") - F.col("part") * F.col("seq_len")).alias("tokens"))
 
 
-def packed(items: DataFrame, max_documents: int | None = None, attention_share: float = 1.0, rule: str = "norm") -> DataFrame:
+def packed(items: DataFrame, max_documents: int | None = None, attention_share: float = ATTENTION, rule: str = "norm") -> DataFrame:
     """(seq_len, container, doc_id, part, tokens) for items (seq_len, doc_id, part, tokens). max_documents: of a container,
-    seq_len / 8 if None; attention_share: its attention capacity as a share of seq_len squared, at least one full item."""
+    seq_len / 16 if None; attention_share: its attention capacity as a share of seq_len squared."""
     kind = items.schema["doc_id"].dataType.simpleString()
     schema = f"seq_len int, container string, doc_id {kind}, part int, tokens long, fill double"
 
@@ -68,7 +74,7 @@ def packed(items: DataFrame, max_documents: int | None = None, attention_share:
         def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             cap = int(key[0])
             pdf = pdf.sort_values(["doc_id", "part"], kind="stable").reset_index(drop=True)
-            got = best_fit(pdf["tokens"].to_numpy(), cap, max_documents or max(1, cap // 8), max(1.0, attention_share) * cap * cap, rule)
+            got = best_fit(pdf["tokens"].to_numpy(), cap, max_documents or max(1, cap // DOCUMENTS), attention_share * cap * cap, rule)
             total = np.bincount(got, pdf["tokens"].to_numpy())
             out = pdf[["seq_len", "doc_id", "part", "tokens"]].copy()
             out["container"] = [f"{stage}{int(key[1])}-{c}" for c in got]

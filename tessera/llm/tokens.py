@@ -81,7 +81,7 @@ class PieceCounter:
             if k is None:
                 if len(seen) > MAX_CACHE:
                     seen.clear()
-                k = self.word(w) if len(w) <= 2000 else sum(self.word(w[i : i + 2000]) for i in range(0, len(w), 2000))
+                k = self.word(w)
                 if len(w) <= 64:
                     seen[w] = k
             total += k

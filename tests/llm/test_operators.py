@@ -392,3 +392,24 @@ def test_very_long_texts_may_overlap(spark):
     t = word_table(spark.createDataFrame([(1, True, " ".join(a)), (2, False, " ".join(b))], "id long, train boolean, text string"), "text", ["id", "train"])
     classes, links = overlap.overlaps(t)
     assert [tuple(r) for r in overlap.row_pairs(classes, links).collect()] == [(1, 2)]
+
+
+def test_short_items_and_ids_of_several_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "so the green heron waits"), (2, "green tea"), (3, "Heron!"), (4, "one two three four five six seven eight"), (5, "nine ten eleven twelve thirteen fourteen")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "green heron"), (2, "heron"), (3, "one two three four five six seven eight"), (3, "nine ten eleven twelve thirteen fourteen"), (3, "nine ten eleven twelve thirteen fourteen")], "item_id long, text string")
+    for block in (1, 2, 100):
+        monkeypatch.setattr(leakage, "BLOCK", block)
+        assert sorted((r.doc_id, r.item_id) for r in leakage.leaked(docs, "doc_id", "text", bench).collect()) == [(1, 1), (1, 2), (3, 2), (4, 3), (5, 3)]
+
+
+def test_each_capacity_decides():
+    size = np.array([60, 40, 40, 30, 10, 5, 5, 5])
+    free = packing.best_fit(size, 100, 99, 1e9, "norm")
+    assert len(set(free)) == 2  # tokens alone: 195 in two containers
+    few = packing.best_fit(size, 100, 2, 1e9, "norm")
+    assert np.bincount(few).max() == 2 and len(set(few)) == 4
+    dear = packing.best_fit(size, 100, 99, 0.45 * 100**2, "norm")
+    assert all((size[dear == c] ** 2).sum() <= 4500 for c in set(dear))
+    assert any((size[free == c] ** 2).sum() > 4500 for c in set(free))
+    alone = packing.best_fit(np.array([98, 2, 50, 50]), 100, 99, 0.9 * 100**2, "norm")
+    assert (alone == alone[0]).sum() == 1 and alone[2] == alone[3]
