@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from tessera.llm.textkit import sentences
 LINES = ["body", "break", "header", "number", "heading", "figure", "blank"]
 SIZE = 1 << 12
 HYPHENS = "-‐‑–¬­⁃"
-TRIGRAMS_AT_MOST = 400_000
+TRIGRAM_BUCKETS = 1 << 22  # letter triples are counted by hash, so the table has a fixed size however many there are
 LIKELIER = {"latin": 5.0}  # nats by which a corrected spelling must be likelier than an unknown one
 LIKELIER_ELSE = 6.5
 EDGE = 2
@@ -42,7 +43,7 @@ DOUBLE = {"vv": "w", "rn": "m", "ri": "n", "ii": "u", "cl": "d", "li": "h"}
 _WORD = re.compile(r"[^\s.,;:?!।꯫॥\"“”'’()\[\]<>/]+")
 _DIGITS = re.compile(r"\d")
 _LETTER = re.compile(r"[^\W\d_]")
-_PAGE = re.compile(r"^[\s\-–—\[\](){}|.·•*_]*(?:page|pg|p|পৃষ্ঠা|পৃ|पृष्ठ|ꯂꯥꯃꯥꯏ)?[\s.:\-–—\[\](){}|]*([\d\s]{1,9}|[ivxlIVXL]{1,6})[\s\-–—\[\](){}|.·•*_]*$", re.I)
+_PAGE = re.compile(r"^[\s\-–—~=\[\](){}|.·•*_]*(?:page|pg|p|পৃষ্ঠা|পৃ|पृष्ठ|ꯂꯥꯃꯥꯏ)?[\s.:\-–—\[\](){}|]*([\d\s]{1,9}|[ivxlIVXL]{1,6})[\s\-–—~=\[\](){}|.·•*_]*$", re.I)
 
 
 def script(word: str) -> str:
@@ -96,17 +97,27 @@ def grams(word: str) -> list[str]:
     return [w[i : i + 3] for i in range(len(w) - 2)]
 
 
+def bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % TRIGRAM_BUCKETS
+
+
 class Letters:
-    """Trigram likelihood of a word given its script's words."""
+    """Trigram likelihood of a word given its script's words: counts by bucket of the triples and of their first two."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[int, int]):
         self.counts = counts
-        self.left: Counter = Counter()
-        for g, n in counts.items():
-            self.left[g[:2]] += n
+        self.seen: dict[str, float] = {}
+
+    def one(self, g: str) -> float:
+        got = self.seen.get(g)
+        if got is None:
+            if len(self.seen) > 500_000:
+                self.seen.clear()
+            got = self.seen[g] = math.log((self.counts.get(bucket(g), 0) + 0.05) / (self.counts.get(bucket(g[:2]), 0) + 2.0))
+        return got
 
     def score(self, word: str) -> float:
-        return sum(math.log((self.counts.get(g, 0) + 0.05) / (self.left.get(g[:2], 0) + 2.0)) for g in grams(word))
+        return sum(map(self.one, grams(word)))
 
     def better(self, word: str) -> str | None:
         if len(word) < 4:
@@ -211,8 +222,10 @@ def training(samples: list[str], pages: int = 500, seed: int = 5) -> list[tuple[
                 rows.append((line, "body"))
             if rng.random() < 0.7:
                 rows.append(("", "blank"))
-        if p % 3 == 0 and ends_last(rows):
-            rows[-1] = (rows[-1][0].split("\n")[0] + pick(HYPHENS), "break")
+        last = max((i for i, (_, k) in enumerate(rows) if k == "body"), default=None)
+        if p % 3 == 0 and last is not None and len(w := (cut := rows[last][0].rstrip(".।꯫?! ")).rpartition(" ")[2]) > 3:
+            rows[last] = (cut[: len(cut) - len(w) + int(rng.integers(2, len(w) - 1))] + pick(HYPHENS), "break")  # goes on overleaf
+            del rows[last + 1 :]
         style = int(rng.integers(8))
         number = (f"{no}", f"[{no}]", f"- {no} -", f"Page {no}", f"p. {no}", f"{no}.", " ".join(str(no)), f"({no})")[int(rng.integers(8))]
         gap = [("", "blank")] if rng.random() < 0.4 else []
@@ -236,17 +249,13 @@ def training(samples: list[str], pages: int = 500, seed: int = 5) -> list[tuple[
     return out
 
 
-def ends_last(rows: list[tuple[str, str]]) -> bool:
-    return bool(rows) and rows[-1][1] == "body" and bool(_LETTER.match(rows[-1][0][-1:]))
-
-
 def trained(samples: list[str]) -> Crf:
     return fit(training(samples), LINES, SIZE, rounds=60, rate=0.2, decay=1e-3)
 
 
 def clues(pages: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(recurring, bad, trigrams): edge lines on more than one page of a document (page_id, edge, pages); words taken for a
-    misreading (page_id, word, right); letter trigrams of the known words, by type."""
+    misreading (page_id, word, right); letter triples of the known words and their beginnings, by bucket (gram, n)."""
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,7 +279,7 @@ def clues(pages: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame, D
     base = pages.select("page_id", "document_id", "page_no", "text")
     read_out = written(base.mapInPandas(read, f"page_id {kind}, document_id string, page_no int, what string, fold string, word string"), "page_words")
     edge = read_out.where("what = 'e' and document_id is not null")
-    often = edge.groupBy("document_id", "fold").agg(F.approx_count_distinct("page_no", 0.01).alias("pages"))
+    often = edge.where("page_no is not null").select("document_id", "fold", "page_no").distinct().groupBy("document_id", "fold").agg(F.count("*").alias("pages"))
     recurring = edge.select("page_id", "document_id", "fold").distinct().join(often.where("pages > 1"), ["document_id", "fold"]).select("page_id", F.col("fold").alias("edge"), F.col("pages").cast("int").alias("pages"))
 
     def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,9 +299,10 @@ def clues(pages: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame, D
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             c = Counter(g for w in pdf["word"] if not odd_shape(w) for g in grams(w))
-            yield pd.DataFrame({"gram": list(c), "n": list(c.values())})
+            c.update(Counter(x[:2] for x in c.elements()))
+            yield pd.DataFrame({"gram": [bucket(g) for g in c], "n": list(c.values())})
 
-    trigrams = counted.where("n > 1").select("word").mapInPandas(cut, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    trigrams = counted.where("n > 1").select("word").mapInPandas(cut, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     told = counted.where("n > 1").select("word").unionAll(wrong.select("word")).distinct()
     unknown = words.select("page_id", "word").join(told, "word", "left_anti")
     return recurring, bad.unionByName(unknown.select("page_id", "word", F.lit(None).cast("string").alias("right"))), trigrams
@@ -303,7 +313,8 @@ def labelled(pages: DataFrame, samples: DataFrame) -> DataFrame:
     texts have no lines."""
     recurring, bad, trigrams = clues(pages, samples)
     texts = [r[0] for r in samples.where("text is not null").orderBy("sample_id").limit(2000).select("text").collect()]
-    counts = {r[0]: r[1] for r in trigrams.orderBy(F.desc("n"), "gram").limit(TRIGRAMS_AT_MOST).collect()}  # kinds of letter triples, not of texts
+    rows = trigrams.toPandas()  # no more than there are buckets
+    counts = dict(zip(rows["gram"].tolist(), rows["n"].tolist(), strict=True))
     held = pages.sparkSession.sparkContext.broadcast((trained(texts), counts))
     edge = recurring.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("edge", "pages"))).alias("edges"))
     words = bad.groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("word", F.coalesce("right", F.lit("")).alias("right")))).alias("words"))
@@ -361,7 +372,7 @@ def page_rows(pid: object, page_no: int | None, lines: list[str], tags: list[str
         elif tag == "number" and (page_no is None or number_of(line) == page_no):
             kinds.append("page_number")
         elif tag in ("body", "break"):
-            if ends_inside(line):
+            if tag == "break" and ends_inside(line):
                 kinds.append("hyphen")
             ws = tokens(line)
             skip = {0} if i in running and running.index(i) and ends_inside(lines[running[running.index(i) - 1]]) else set()
@@ -394,39 +405,45 @@ BLOCK = 512  # pages of one document whose paragraphs are numbered in one task
 
 def paragraphs(pages: DataFrame, samples: DataFrame) -> DataFrame:
     """(document_id, page_no, paragraph, text): continuous paragraphs, one page's last going on in the next page's first.
-    Of a page given twice the least page_id counts. A paragraph stands under the page it begins on."""
-    once = pages.join(pages.groupBy("document_id", "page_no").agg(F.min("page_id").alias("page_id")).select("page_id"), "page_id", "left_semi")
+    Of a page given twice the least page_id counts. A paragraph stands under the page it begins on. A page without
+    document_id or page_no is a document of its own."""
+    lone = F.col("document_id").isNull() | F.col("page_no").isNull()
+    named = pages.withColumn("own", F.when(lone, F.concat(F.lit("?"), F.col("page_id").cast("string"))).otherwise(F.concat(F.lit("="), "document_id")))
+    named = named.withColumn("no", F.coalesce("page_no", F.lit(0)))
+    once = named.join(named.groupBy("own", "no").agg(F.min("page_id").alias("page_id")).select("page_id"), "page_id", "left_semi")
     lines = labelled(once, samples)
-    kind = pages.schema["page_id"].dataType.simpleString()
     body = lines.where(F.col("state").isin("body", "break", "blank", "heading")).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "state", "repaired"))).alias("lines"))
 
     @F.pandas_udf("array<string>")
     def joined(rows: pd.Series) -> pd.Series:
         def one(page: list) -> list[str]:
-            out, now = [], ""
+            out, now, inside = [], "", False
             for r in page:
                 s = r["repaired"].strip()
-                if r["state"] in ("blank", "heading") and now:
-                    if not ends_inside(now):
-                        out, now = [*out, now], ""
+                if r["state"] in ("blank", "heading") and now and not inside:
+                    out, now = [*out, now], ""
                 if r["state"] == "heading":
                     out.append(s)
                 elif s:
-                    now = now[:-1] + s if now and ends_inside(now) else f"{now} {s}".strip()
+                    now = now[:-1] + s if now and inside and now[-1] in HYPHENS else f"{now} {s}".strip()
+                    inside = r["state"] == "break"
             return [*out, now] if now else out
 
         return rows.map(one)
 
-    texts = once.select("page_id", "document_id", "page_no").join(body.select("page_id", joined("lines").alias("paragraphs")), "page_id")
-    flat = texts.select("document_id", "page_no", F.posexplode("paragraphs").alias("k", "text"), F.size("paragraphs").alias("many"))
-    block = Window.partitionBy("document_id", F.floor(F.col("page_no") / BLOCK)).orderBy("page_no", "k")
-    open_ = ~F.col("text").rlike("[.।꯫?!|:]\\W*$")
-    before = F.lag("text").over(block)
-    goes_on = (F.col("k") == 0) & (F.lag("page_no").over(block) == F.col("page_no") - 1) & F.lag(open_).over(block) & before.isNotNull()
-    marked = flat.withColumn("starts", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
-    grouped = marked.withColumn("g", F.sum("starts").over(block))
-    part = F.floor(F.col("page_no") / BLOCK).alias("part")
-    whole = grouped.groupBy("document_id", part, "g").agg(F.min("page_no").alias("page_no"), F.array_sort(F.collect_list(F.struct("page_no", "k", "text"))).alias("parts"))
+    texts = once.select("page_id", "own", "document_id", "page_no", "no").join(body.select("page_id", joined("lines").alias("paragraphs")), "page_id")
+    texts = written(texts, "page_paragraphs")
+    flat = texts.select("own", "document_id", "page_no", "no", F.posexplode("paragraphs").alias("k", "text"))
+    # whether a page's last paragraph goes on: told to the next page by a join, whichever block that is in
+    last = F.element_at("paragraphs", -1)
+    goes_on = texts.where(F.size("paragraphs") > 0).where(~last.rlike("[.।꯫?!|:]\\W*$")).select("own", (F.col("no") + 1).alias("no"), F.lit(0).alias("k"), F.lit(0).alias("starts"))
+    marked = flat.join(goes_on, ["own", "no", "k"], "left").withColumn("starts", F.coalesce("starts", F.lit(1))).withColumn("part", F.floor(F.col("no") / BLOCK))
+    # numbers of paragraphs: counted by block, then summed over the blocks before
+    blocks = marked.groupBy("own", "part").agg(F.sum("starts").alias("many"))
+    before = F.coalesce(F.sum("many").over(Window.partitionBy("own").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.sum("starts").over(Window.partitionBy("own", "part").orderBy("no", "k"))
+    numbered = marked.withColumn("in", inside).join(blocks.select("own", "part", before.alias("before")), ["own", "part"]).withColumn("g", F.col("before") + F.col("in"))
+    whole = numbered.groupBy("own", "g").agg(F.min("document_id").alias("document_id"), F.min("page_no").alias("page_no"), F.array_sort(F.collect_list(F.struct("no", "k", "text"))).alias("parts"))
     text = F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["text"]), " "), f"(?<=\\p{{L}}|\\p{{M}})[{HYPHENS}] (?=\\p{{L}})", "")
     return whole.select("document_id", "page_no", F.col("g").cast("int").alias("paragraph"), text.alias("text"))
 

@@ -413,3 +413,22 @@ def test_each_capacity_decides():
     assert any((size[free == c] ** 2).sum() > 4500 for c in set(free))
     alone = packing.best_fit(np.array([98, 2, 50, 50]), 100, 99, 0.9 * 100**2, "norm")
     assert (alone == alone[0]).sum() == 1 and alone[2] == alone[3]
+
+
+def test_paragraphs_go_on_over_any_page(spark, data, monkeypatch):
+    """One sentence over many pages is one paragraph, whichever blocks these are numbered in; pages without an id stay apart."""
+    samples = spark.read.parquet(f"{data}/lang_samples.parquet")
+    things = "mill barn gate wall ford kiln shed loft dock yard pier well".split()
+
+    def page(i):
+        a, b, c = (things[(i * k + k) % 12] for k in (1, 5, 7))
+        return f"The old {a} by the river near the {b} was sold to the\nmiller of the next village {i} and his two sons, who\nkept the {c} for many years and then went on to say"
+
+    rows = [(i, "d", i, page(i)) for i in range(1, 8)] + [(20, None, 3, page(9)), (21, None, 3, page(10)), (22, "e", None, page(11)), (23, "e", None, page(12))]
+    pages = spark.createDataFrame(rows, "page_id long, document_id string, page_no int, text string")
+    got = {}
+    for block in (2, 3, 512):
+        monkeypatch.setattr(ocr, "BLOCK", block)
+        got[block] = sorted(tuple(map(str, r)) for r in ocr.paragraphs(pages, samples).collect())
+    assert got[2] == got[3] == got[512]
+    assert len([r for r in got[2] if r[0] == "d"]) == 1 and len([r for r in got[2] if r[0] == "None"]) == 2 and len([r for r in got[2] if r[0] == "e"]) == 2
