@@ -35,9 +35,35 @@ class Crf:
         picked = self.weights[flat]
         return np.stack([np.bincount(row, picked[:, k], minlength=len(feats)) for k in range(len(self.labels))], axis=1)
 
+    def scores(self, feats: np.ndarray) -> np.ndarray:
+        """Scores of positions by label from a matrix of feature numbers, one template a column."""
+        weights = self.weights.astype(np.float32)
+        out = np.zeros((len(feats), len(self.labels)), np.float32)
+        for column in feats.T:
+            out += weights[column]
+        return out
+
+    def settled(self, u: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Whether the best labels of a sequence are surely all the first one. Leaving it for a stretch gains no more than
+        the sum of its positions' best gains, the dearest moves into, inside and out of it included; if no stretch of the
+        sequence gains anything by that bound, Viterbi could find none either."""
+        a = self.moves - self.moves[0, 0]
+        enter = max(a[0, 1:].max(), (self.starts[1:] - self.starts[0]).max())
+        leave, inside = max(0.0, a[1:, 0].max()), a[1:, 1:].max()
+        gain = (u[:, 1:].max(axis=1) - u[:, 0]).astype(np.float64) + inside
+        row = np.repeat(np.arange(len(length)), length)
+        total = np.cumsum(gain)
+        apart = (np.abs(gain).max(initial=0) * (length.max(initial=0) + 1) + 1.0) * 2 * row  # keeps minima within their row
+        before = np.minimum.accumulate(np.concatenate([[0.0], total[:-1]]) - apart)
+        best = np.full(len(length), -np.inf)
+        np.maximum.at(best, row, total - apart - before)
+        return best + enter + leave - inside < -1e-3
+
     def decode(self, feats: list[list[int]], length: np.ndarray) -> np.ndarray:
         """Best label numbers; sequences of these lengths lie one after another."""
-        u = self.unary(feats)
+        return self.viterbi(self.unary(feats), length)
+
+    def viterbi(self, u: np.ndarray, length: np.ndarray) -> np.ndarray:
         out = np.zeros(len(u), np.int64)
         order = np.argsort(-length, kind="stable")
         first = (np.cumsum(length) - length)[order]

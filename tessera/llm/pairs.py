@@ -36,30 +36,47 @@ LIST = re.compile(r"\b(?:list|name|give|enumerate)\s+(?:\d+|three|four|five|six|
 _ITEM = re.compile(r"^\s*(?:\d+[.)]|[-*•])\s*")
 _LEAD = re.compile(r"^\s*(?:[>\"'“”‘’(\[*_]|(?:q|question|instruction|input|a|answer|output|response)\s*:)+\s*", re.I)
 
-# The labelled table the field is trained on, with the sentences of the language samples: own clauses, {} is a thing.
+# The labelled table the field is trained on, with the sentences of the language samples: refusals, and answers that sound
+# like some, are put together from the parts below in all ways or a fixed share of them; {} is a thing.
 OPENERS = {
-    "en": ("", "", "I'm sorry, but ", "Sorry, ", "I apologise, but ", "Apologies: ", "Unfortunately, ", "Regrettably, ", "I'm afraid ", "As an AI model, ", "As an AI language model, ", "Thanks for asking, but ", "No: ", "With respect, ", "I regret that "),
-    "bn": ("", "", "দুঃখিত, ", "মাফ করবেন, ", "ক্ষমা করবেন, ", "আমি একটি ভাষা মডেল, তাই "),
-    "hi": ("", "", "क्षमा करें, ", "माफ़ कीजिए, ", "खेद है, ", "मैं एक भाषा मॉडल हूँ, इसलिए "),
+    "en": ("", "", "I'm sorry, but ", "Sorry, ", "I apologise, but ", "Unfortunately, ", "Regrettably, ", "I'm afraid ", "As an AI model, ", "As a language model, ", "Thank you for asking, but ", "No, "),
+    "bn": ("", "", "দুঃখিত, ", "মাফ করবেন, ", "ক্ষমা করবেন, ", "ভাষা মডেল হিসেবে "),
+    "hi": ("", "", "क्षमा करें, ", "माफ़ कीजिए, ", "खेद है, ", "भाषा मॉडल के रूप में "),
     "mni": ("", "ঙাকপিয়ু, ", "ꯉꯥꯛꯄꯤꯌꯨ, ", "Ngaakpiyu, "),
 }
-REFUSALS = {
-    "en": (
-        "I can't help with {}.", "I cannot help you with {}.", "I am unable to say anything about {}.", "I'm unable to assist with {}.", "I won't be able to assist.", "I must decline to write about {}.", "I cannot answer questions on {}.",
-        "I am not permitted to respond.", "I'm not allowed to discuss {}.", "my guidelines prevent me from completing this.", "I don't have enough information to respond.", "I do not know the answer and will not guess.", "I would rather not comment on {}.",
-        "I have to pass on {}.", "this is outside what I can do.", "{} is outside what I can do.", "{} is a task I will not take on.", "that is something I will not do.", "it would not be appropriate for me to discuss {}.", "no answer about {} can be given here.",
-        "you will have to ask somebody else about {}.", "I cannot provide that.", "I can not comply with {}.", "I refuse to answer.", "I do not have access to that.", "You may ask about something else.", "I hope you understand.", "Please try another question.", "A librarian could tell you more.",
-        "Is there anything else I can help with?", "Please ask about something different.", "I cannot fulfil this request.", "answering this is not possible for me.", "I don't feel comfortable answering that.",
-    ),
-    "bn": ("আমি এই বিষয়ে সাহায্য করতে পারব না।", "এ নিয়ে কিছু বলতে পারি না।", "এই অনুরোধ রাখা যাচ্ছে না।", "আমার কিছু জানা নেই, উত্তর দিচ্ছি না।", "এই প্রশ্নের উত্তর দেওয়া আমার পক্ষে সম্ভব নয়।", "অন্য কিছু জিজ্ঞাসা করুন।", "আমি উত্তর দিতে অক্ষম।", "এটি আমি করতে পারি না।", "আমি এটি লিখতে পারব না।"),
-    "hi": ("मैं इसमें मदद नहीं कर सकता।", "इस पर राय नहीं दे सकता।", "मुझे इसकी जानकारी नहीं है, उत्तर नहीं दूँगा।", "यह काम मैं नहीं करूँगा।", "इस प्रश्न का उत्तर देना मेरे लिए संभव नहीं है।", "कृपया कुछ और पूछें।", "मैं उत्तर देने में असमर्थ हूँ।", "मैं यह नहीं लिख सकता।"),
-    "mni": ("ঐ মসিদা মতেং পাংবা ঙমলোই।", "ঐনা মসিগী পাওখুম পীবা ঙমদে।", "ꯑꯩ ꯃꯁꯤꯗꯥ ꯃꯇꯦꯡ ꯄꯥꯡꯕꯥ ꯉꯃꯂꯣꯏ꯫", "ꯑꯩꯅꯥ ꯃꯁꯤꯒꯤ ꯄꯥꯎꯈꯨꯝ ꯄꯤꯕꯥ ꯉꯃꯗꯦ꯫", "Ei masida mateng paangba ngamloi.", "Eina masigi paukhum piba ngamde."),
+UNABLE = ("cannot", "can't", "can not", "could not", "am unable to", "am not able to", "won't", "won't be able to", "will not", "must decline to", "have to decline to", "decline to", "refuse to", "am not allowed to", "am not permitted to", "would rather not", "prefer not to", "do not want to", "don't feel able to", "am in no position to", "have no way to")
+ACTS = ("help with {}", "help you", "assist with {}", "answer", "answer that", "respond", "respond to this", "say anything about {}", "discuss {}", "comment on {}", "talk about {}", "write about {}", "provide that", "provide {}", "complete this", "fulfil this", "comply", "do that", "give an answer", "share that", "offer an opinion on {}")
+SELVES = (
+    "I don't know.", "I do not know the answer.", "I have no information about {}.", "I don't have the information needed.", "I do not have access to that.", "this goes beyond what I can do.", "this is not something I can do.", "that is not something I will do.", "{} lies beyond my abilities.", "my rules forbid this.", "my instructions do not allow this.", "it is against my policy to discuss {}.",
+    "it would be wrong of me to answer.", "it isn't possible for me to answer.", "please ask someone else.", "please ask me something else.", "you could ask a specialist instead.", "is there something else you need?", "thanks for understanding.", "I'd be glad to help with another question.",
+)
+PARTS = {  # refusals of the other languages: in turn one of each row
+    "bn": (("আমি ", "আমার পক্ষে ", ""), ("এই বিষয়ে ", "এ ব্যাপারে ", "এই প্রশ্নের ", "এটি ", "এই কাজটি "), ("সাহায্য করতে ", "উত্তর দিতে ", "মন্তব্য করতে ", "কিছু বলতে ", "লিখতে ", "করতে "), ("পারব না।", "পারছি না।", "পারি না।", "চাই না।", "অক্ষম।", "রাজি নই।", "অপারগ।")),
+    "hi": (("मैं ", "मेरे लिए ", ""), ("इस विषय में ", "इस बारे में ", "इस पर ", "यह ", "इस प्रश्न का "), ("सहायता ", "मदद ", "उत्तर ", "टिप्पणी ", "काम ", "राय "), ("नहीं कर सकता।", "नहीं दे सकता।", "नहीं करूँगा।", "करने में असमर्थ हूँ।", "देने में असमर्थ हूँ।", "संभव नहीं है।", "नहीं लिख सकता।")),
+    "mni": (("ঐ ", "ঐনা "), ("মসিদা ", "মসিগী ", "হায়রিবা অসিদা "), ("মতেং পাংবা ", "পাওখুম পীবা ", "ৱা ঙাংবা ", "ইবা "), ("ঙমদে।", "ঙমলোই।", "য়ারোই।", "পাম্দে।")),
+    "mni-mayek": (("ꯑꯩ ", "ꯑꯩꯅꯥ "), ("ꯃꯁꯤꯗꯥ ", "ꯃꯁꯤꯒꯤ "), ("ꯃꯇꯦꯡ ꯄꯥꯡꯕꯥ ", "ꯄꯥꯎꯈꯨꯝ ꯄꯤꯕꯥ ", "ꯏꯕꯥ "), ("ꯉꯃꯗꯦ꯫", "ꯉꯃꯂꯣꯏ꯫", "ꯌꯥꯔꯣꯏ꯫")),
+    "mni-latin": (("Ei ", "Eina "), ("masida ", "masigi "), ("mateng paangba ", "paukhum piba ", "iba "), ("ngamde.", "ngamloi.", "yaaroi.")),
 }
-THINGS = ("this", "that", "this request", "the drum", "any bridge", "the notice", "this topic", "any mill")
+
+
+def _turns(rows: tuple[tuple[str, ...], ...], many: int) -> list[str]:
+    """Clauses of one part of each row, the parts of every row in turn."""
+    return list(dict.fromkeys("".join(x[(i * (2 * k + 1) + i // len(x)) % len(x)] for k, x in enumerate(rows)) for i in range(many)))
+
+
+REFUSALS = {
+    "en": [f"I {u} {a}." for i, u in enumerate(UNABLE) for j, a in enumerate(ACTS) if (i + j) % 4 == 0] + list(SELVES),
+    "bn": _turns(PARTS["bn"], 60),
+    "hi": _turns(PARTS["hi"], 60),
+    "mni": _turns(PARTS["mni"], 16) + _turns(PARTS["mni-mayek"], 12) + _turns(PARTS["mni-latin"], 12),
+}
+THINGS = ("this", "that", "this request", "the barn", "any canal", "such things", "this topic", "any ferry")
+OTHERS = ("The clerk", "The {}", "They", "Nobody at the {}", "Her neighbour", "The owner of the {}", "Two of the guards")
+ABOUT = ("could not help the {}", "cannot help the {}", "refused to answer the letter", "declined to comment on the {}", "was unable to assist anyone", "is not able to open the {}", "was not allowed to discuss the {}", "would rather not sell the {}", "will not do that again", "won't write about the {}")
 ANSWERS = (
-    "Here is what the records say.", "Here is the answer.", "Sure, here is the text.", "I cannot overstate how {} it is.", "I cannot stress enough how {} the harvest was.", "Sorry as its state is, the {} still stands.", "Sorry as he was, the {} left at noon.", "Villagers say they are unable to help the {} committee.",
-    "They said they cannot help the {}.", "The {} refused to answer the teacher.", "The clerk was not permitted to open the {}.", "The {} declined the request last winter.", "Nobody could answer the questions on the {}.", "Unfortunately for the {}, the gate stayed closed.", "The model of the {} is outside the hall.",
-    "The guidelines of the {} prevent any sale.", "The {} was unable to assist the boatman.", "It would not be appropriate to move the {}.", "The answer is {}.", "I cannot praise the {} enough.", "news", "story", "notice", "Story.", "News.", "The Old {} of the Valley", "1. narrow {}", "2. bright lamp", "3. old {}",
+    *[f"{o} {x}." for o in OTHERS for x in ABOUT],
+    "Here it is.", "Here is what the notes say.", "Certainly, here is the text.", "Of course.", "I cannot praise the {} enough.", "I can't stress enough how {} it was.", "We could not have wished for a better {}.", "Sorry for the {} as they were, they left at noon.", "Unfortunately the {} was closed.", "I don't know a better {} than this.", "No, the {} is still open.", "The answer is {}.",
+    "news", "story", "notice", "Story.", "News.", "The Old {} of the Valley", "1. narrow {}", "2. bright lamp", "3. old {}",
 )
 FILL = ("bell", "river", "market", "orchard", "kiln", "quiet", "stubborn", "field", "school", "clinic")
 
@@ -73,6 +90,27 @@ def _grams(text: str) -> list[str]:
 LEXICON = {g for k, v in OPENERS.items() for o in v for x in REFUSALS[k] for y in (x, x[0].lower() + x[1:]) for g in _grams(o + y.format("it"))} - {"w2=of_the", "w2=in_the", "w2=for_the", "w2=^_the"}
 
 
+# Words by what they do in a clause that declines, in each language.
+ROLES = {
+    "me": "i me my mine myself we us our আমি আমার আমাকে আমরা मैं मुझे मेरे मेरा मेरी हम ঐ ঐনা ঐগী ঐহাক ꯑꯩ ꯑꯩꯅꯥ ꯑꯩꯒꯤ ei eina eigi",
+    "not": "not no t cannot never none nothing unable decline declined refuse refused without beyond outside against forbid forbids prevent prevents wrong unwilling না নেই নয় নই নি অক্ষম অপারগ নারাজ नहीं न मत असमर्थ अक्षम मना",
+    "aid": "help assist answer answers respond reply discuss comment opinion request requests question questions information topic guidelines policy rules able allowed permitted appropriate possible provide know understand guess write সাহায্য উত্তর মন্তব্য প্রশ্ন প্রশ্নের বিষয়ে অনুরোধ তথ্য জানা সম্ভব মত মতামত मदद सहायता उत्तर जवाब राय प्रश्न जानकारी संभव टिप्पणी अनुरोध মতেং পাওখুম ꯃꯇꯦꯡ ꯄꯥꯎꯈꯨꯝ mateng paukhum",
+    "you": "you your yours please someone somebody else another ask আপনি আপনার আপনাকে অন্য দয়া कृपया आप आपकी आपका",
+    "sorry": "sorry apologise apologize apologies apology unfortunately regrettably regret afraid pardon respect দুঃখিত মাফ ক্ষমা দুর্ভাগ্য क्षमा माफ़ माफ खेद ঙাকপিয়ু ꯉꯥꯛꯄꯤꯌꯨ ngaakpiyu",
+    "machine": "ai model assistant language ভাষা মডেল মডেল भाषा मॉडल",
+}
+_ROLE = {w: r for r, x in ROLES.items() for t in x.split() for w in words(t)}
+_MNI_NOT = ("দে", "লোই", "রোই", "ꯗꯦ", "ꯂꯣꯏ", "ꯔꯣꯏ", "amde", "loi", "roi")  # endings of verbs that deny
+
+
+def roles(ws: list[str]) -> list[str]:
+    """What the words of a clause do if it declines: the roles it has, in pairs, and their share of its words."""
+    own = [_ROLE.get(w) or ("not" if len(w) > 3 and w.endswith(_MNI_NOT) else None) for w in ws]
+    have = sorted({r for r in own if r})
+    share = sum(r is not None for r in own) / max(1, len(ws))
+    return [f"r={r}" for r in have] + [f"rr={a}_{b}" for a in have for b in have if a < b] + [f"rs={int(5 * share)}", f"rn={len(have)}", f"rns={len(have)}_{int(3 * share)}"]
+
+
 def asked_language(instruction: str, own: str | None) -> str | None:
     """The language a prompt asks for, or else is in."""
     for m in _ASKED.finditer(instruction):
@@ -100,15 +138,17 @@ def share_in(part: list[str], whole: list[str], run: int = 3) -> float:
     return float(held.mean())
 
 
-def clause_features(text: str, first: bool, last: bool, echo: float, copying: bool, language: str, short: bool) -> list[int]:
-    """language: same, other or unclear; short: the prompt asks for a label, title or list."""
+def clause_features(text: str, first: bool, last: bool, echo: float, copying: bool, language: str, short: bool, wording: bool = True) -> list[int]:
+    """language: same, other or unclear; short: the prompt asks for a label, title or list; wording: tell turns of phrase."""
     ws = words(text)
     end = text.rstrip().rstrip("\"'”’)]*_​﻿⁠­>").rstrip()[-1:]
     done = end in SENTENCE_END and not text.rstrip().endswith(("…", "...", "—")) if end else False
     mark = "end" if done else "list" if _ITEM.match(text) else "open" if end in "(“\"'‘[{,;:-–—…" or end == "" else "word"
     where = f"{int(first)}{int(last)}"
     bits = ["b", f"end={mark}", f"end={mark},last={int(last)},short={int(short)}", f"echo={min(4, int(echo * 5))}", f"echo={min(4, int(echo * 5))},copy={int(copying)}", f"lang={language}", f"lang={language},echo={int(echo > 0.75)}", f"at={where}", f"n={min(6, len(ws) // 3)}"]
-    bits += [g for g in _grams(text) if g in LEXICON]
+    bits += roles(ws)
+    if wording:
+        bits += [g for g in _grams(text) if g in LEXICON]
     return [feature(x, SIZE) for x in bits]
 
 
@@ -121,7 +161,9 @@ def training(samples: list[tuple[str, str]]) -> list[tuple[list[list[int]], list
     def add(clauses: list[tuple[str, float, str, str]], copying: bool = False, short: bool = False) -> None:
         k = len(clauses)
         clauses = [(s, e, "unclear" if len(words(s)) < 3 else lang, y) for s, e, lang, y in clauses]
-        out.append(([clause_features(s, i == 0, i == k - 1, e, copying, lang, short) for i, (s, e, lang, _) in enumerate(clauses)], [TAGS.index(y) for *_, y in clauses]))
+        # every other sequence shows no turns of phrase: the field must tell refusals by what their words do as well
+        wording = len(out) % 2 == 0
+        out.append(([clause_features(s, i == 0, i == k - 1, e, copying, lang, short, wording) for i, (s, e, lang, _) in enumerate(clauses)], [TAGS.index(y) for *_, y in clauses]))
 
     for i in range(len(plain) // 3):
         k, j = 1 + i % 5, 3 * i  # clauses of the run, where it starts
@@ -142,9 +184,19 @@ def training(samples: list[tuple[str, str]]) -> list[tuple[list[list[int]], list
             add([(x, 0.0, "unclear", "answer") for x in items], short=True)
         if i % 8 == 3:
             add([(run[0], 1.0, "same", "echo")] + [(x, 0.0, "same", "answer") for x in run])
+    # sentences that tell of denying and helping, of others than the speaker
+    script = {"en": str.isascii, "bn": lambda w: "\u0980" <= w[0] < "\u0a00", "hi": lambda w: "\u0900" <= w[0] < "\u0980"}
+    for i, (x, lang) in enumerate(plain):
+        if lang in script:
+            own = [w for r in ("not", "aid", "you", "not", "aid") for w in sorted(k for k, v in _ROLE.items() if v == r and script[lang](k) and len(k) > 1)]
+            ws = x.split()
+            for k in range(1 + i % 3):
+                ws.insert(1 + (i * 7 + k * 5) % max(1, len(ws) - 1), own[(i * 11 + k * 17) % len(own)])
+            ws = ws[: 8 + i % 5]  # short ones too, in which such words weigh more
+            add([(" ".join(ws).rstrip(SENTENCE_END) + ("." if lang == "en" else "।"), 0.0, "same", "answer")] + ([(plain[i - 1][0], 0.0, "same", "answer")] if i % 3 == 0 and plain[i - 1][1] == lang else []))
     for i, s in enumerate(ANSWERS):
-        for j, f in enumerate(FILL[:6]):
-            x = s.format(f)
+        for j, f in enumerate(FILL[:3] if i < len(OTHERS) * len(ABOUT) else FILL[:6]):
+            x = s.replace("{}", f)
             label = i >= len(ANSWERS) - 9
             add([(x, 0.0, "same", "answer")] + ([] if label else [(plain[(i * 31 + j * 7) % len(plain)][0], 0.0, "same", "answer")]), short=label)
     for lang, cores in REFUSALS.items():
@@ -153,6 +205,8 @@ def training(samples: list[tuple[str, str]]) -> list[tuple[list[list[int]], list
                 x = opener + (core if not opener or core.startswith("I ") or core.startswith("I'") else core[0].lower() + core[1:])
                 x = x.format(THINGS[(i + j) % len(THINGS)])
                 x = x.upper() if (i + j) % 13 == 0 else x
+                if lang == "en" and (i + j) % 3:
+                    continue
                 add([(x, 0.0, ("same", "other")[(i + j) % 2], "refusal")] + ([(cores[(i * 5 + j) % len(cores)].format("it"), 0.0, "same", "refusal")] if j % 3 == 0 else []))
     return out
 

@@ -1,72 +1,81 @@
 """Problem 10: personal information inside free text.
 
 A linear-chain conditional random field over word-shape features tags tokens as parts of e-mail addresses, phone numbers,
-identity numbers, street addresses and names. It is trained on a small labelled table: the sentence frames below, filled by
-fixed rules, with parts of the given name list, half of them left out so that context is learnt too. Only stretches around
-something that might matter (digits, an @, a label, a capitalised pair, a listed name) are decoded, in numpy batches; a span
-is then cut exactly: closing punctuation, labels and titles go, and a number must have as many digits as its kind has."""
+identity numbers, street addresses and names. Its labelled table is made here: values of each kind (and things that only look
+like them) are put at any place into the sentences of `lang_samples`, so no wording around them is given; names are made of
+parts of the given list, half of which the field isn't told, so that context and shape are learnt too. Every token of every
+line is scored, in numpy batches; Viterbi leaves out only lines that a bound on its own scores proves to be free of all
+kinds. A span is what the field tags, without closing signs and titles; a number of a length its kind can't have is dropped."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.crf import Crf, feature, fit
+from tessera.llm.crf import Crf, fit
 from tessera.llm.runtime import table
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 TAGS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
-SIZE = 1 << 15
-NAMES_AT_MOST = 20_000  # rows of the name list used; a stated list, read whole up to this size
-BEFORE, AFTER = 70, 110  # characters around a trigger
+SIZE = 1 << 16
+SAMPLES = 2000  # labelled sample texts the field is trained on, at most
+MAX_CACHE = 1_000_000
+SEEN = 6  # training lines a feature must be in
 
 _TOKEN = re.compile(r"\d+|[^\W\d_]\.(?=\s|$|,)|[^\s\d!-/:-@\[-`{-~।॥꯫“”‘’—–‑•]+|\S")
-# Words that introduce a kind, as they stand in text.
-TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Shri", "Smt", "Sri", "Kumari", "শ্রী", "শ্রীমতী", "ডাঃ", "ডা", "ডঃ", "অধ্যাপক", "श्री", "श्रीमती", "डॉ", "प्रो", "सुश्री", "ইবেম্মা", "ওঝা", "ꯑꯣꯖꯥ")
-LABELS = ("নাম", "মমিং", "নামঃ", "नाम", "ꯃꯃꯤꯡ", "maming", "applicant", "signed", "লেখক", "लेखक", "গতকাল", "कल", "said", "cousin", "aged", "Compiled", "Name", "name")
-_TRIGGER = re.compile(
-    r"[@＠]|[\[(]\s?at\s?[\])]|\bat\b[^.\n]{2,40}\bdot\b|[A-ZＡ-Ｚ]{1,5}[ -]?\d{4,7}|\d(?:[\s().\-–‑/]{0,3}\d){5,}"
-    r"|\b(?:" + "|".join(TITLES[:9]) + r")\b\.?\s|(?:" + "|".join(t for t in TITLES[9:]) + r")\.?\s|(?:" + "|".join(x for x in LABELS if not x.isascii()) + r")(?:\b|(?!\w))|\b(?:maming|applicant|signed by|[Cc]ompiled by|said|aged|[Nn]ame)\b"
-    r"|(?<![A-Za-zÀ-ɏ])(?:[A-Z][a-zÀ-ɏ’'-]+|[A-ZÀ-Þ]{2,}|[A-Z]\.),?\s+(?:[A-Z][a-zÀ-ɏ’'-]+|[A-ZÀ-Þ]{2,}|[A-Z]\.)"
-)
+# Titles, as they stand before names.
+TITLES = {
+    "latin": ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Shri", "Smt", "Sri", "Kumari"),
+    "bengali": ("শ্রী", "শ্রীমতী", "ডাঃ", "ডঃ", "অধ্যাপক", "ইবেম্মা", "ওঝা"),
+    "devanagari": ("श्री", "श्रीमती", "डॉ", "प्रो", "सुश्री"),
+    "meitei": ("ꯑꯣꯖꯥ",),
+}
+# Words that announce a kind in each script's languages.
+LABELS = {
+    "latin": {
+        "name": ("name", "full name", "signature", "author", "said", "maming"), "phone": ("phone", "tel", "mobile", "cell", "fax", "WhatsApp"), "email": ("email", "e-mail", "mail", "mailto"),
+        "id_number": ("Aadhaar", "UID", "PAN", "passport", "voter ID", "voter card", "driving licence", "identity card"), "address": ("address", "residence", "home", "leipham"),
+    },
+    "bengali": {
+        "name": ("নাম", "লেখক", "মমিং"), "phone": ("ফোন", "মোবাইল", "টেলিফোন"), "email": ("ইমেল", "ই-মেইল"),
+        "id_number": ("আধার", "প্যান", "পেন", "পাসপোর্ট", "ভোটার কার্ড"), "address": ("ঠিকানা", "বাসা", "লৈফম"),
+    },
+    "devanagari": {
+        "name": ("नाम", "लेखक"), "phone": ("फ़ोन", "फोन", "मोबाइल", "दूरभाष"), "email": ("ईमेल", "ई-मेल"),
+        "id_number": ("आधार", "पैन", "पासपोर्ट", "मतदाता पत्र"), "address": ("पता", "निवास"),
+    },
+    "meitei": {
+        "name": ("ꯃꯃꯤꯡ",), "phone": ("ꯐꯣꯟ", "ꯃꯣꯕꯥꯏꯜ"), "email": ("ꯏꯃꯦꯜ",),
+        "id_number": ("ꯑꯥꯙꯥꯔ", "ꯄꯦꯟ", "ꯄꯥꯁꯄꯣꯔꯠ", "ꯚꯣꯇꯔ ꯀꯥꯔꯗ"), "address": ("ꯂꯩꯐꯝ",),
+    },
+}
+NUMBER = {"latin": ("No.", "number", "no"), "bengali": ("নং", "নম্বর"), "devanagari": ("नं", "सं.", "नंबर"), "meitei": ("ꯅꯪ",)}
+COUNTING = {"no", "number", "no.", "নং", "নম্বর", "नं", "सं", "नंबर", "ꯅꯪ"}
+# What follows a name in that of a place or institution, and what counts things.
+PLACES = {
+    "latin": ("Road", "Street", "Library", "School", "College", "Bridge", "Market", "Cup", "Trophy", "Shield", "Hall", "Stadium", "Museum", "Bank", "Society", "Foundation", "Press", "Memorial", "Lake", "River", "Hills", "District", "Hospital", "Club", "Temple", "Ground"),
+    "bengali": ("সড়ক", "স্কুল", "কলেজ", "বাজার", "সেতু", "ব্যাঙ্ক", "গ্রন্থাগার", "মেমোরিয়াল", "জেলা", "নদী"),
+    "devanagari": ("मार्ग", "विद्यालय", "महाविद्यालय", "बाज़ार", "पुल", "बैंक", "पुस्तकालय", "स्मारक", "ज़िला", "नदी"),
+    "meitei": ("ꯂꯝꯕꯤ", "ꯁ꯭ꯀꯨꯜ", "ꯀꯣꯂꯦꯖ", "ꯀꯩꯊꯦꯜ", "ꯊꯣꯡ", "ꯕꯦꯉ꯭ꯛ"),
+}
+THINGS = {
+    "latin": ("order", "batch", "invoice", "receipt", "ISBN", "serial", "catalogue", "archive", "account", "ticket", "lot", "file", "model", "version", "accession", "parcel", "block", "shelf"),
+    "bengali": ("অর্ডার", "রসিদ", "ISBN", "নথি", "খণ্ড"),
+    "devanagari": ("आदेश", "रसीद", "ISBN", "फ़ाइल", "खंड"),
+    "meitei": ("ISBN", "ꯐꯥꯏꯜ"),
+}
 _GROUP = re.compile(r"[+＋]?[(]?\d(?:[\s().\-–‑/]{0,2}\d)*")
-_TITLE = re.compile(r"(?:" + "|".join(TITLES) + r")\.?\s+")
+_SOME = re.compile(r"\d\D{0,3}\d\D{0,3}\d")
 _MAIL = re.compile(r"[\w.%+\-]+\s?(?:[@＠]|\(\s?at\s?\)|\[\s?at\s?\]|\sat\s)\s?[\w\-]+(?:\s?(?:[.．]|\(\s?dot\s?\)|\[\s?dot\s?\]|\sdot\s)\s?[A-Za-z\w\-]+)+")
-_PHONE = re.compile(r"(?:[+＋]\d{1,3}[\s.\-]?)?[(]?\d{2,6}[)]?(?:[\s.\-–‑]?\d{2,8}){0,4}")
-_ID = re.compile(r"(?<![A-Za-z])[A-Za-z]{1,5}[ \-]?\d{4,8}(?:[ \-]?[A-Za-z])?(?![A-Za-z\d])|\d{4}[\s.\-]?\d{4}[\s.\-]?\d{4}(?!\d)")
-
-
-def spread(text: str, listed: dict[str, str]) -> list[tuple[int, int]]:
-    """Stretches of the text around triggers, joined where they meet and kept within a line."""
-    at = [(m.start(), m.end()) for m in _TRIGGER.finditer(text)]
-    if not listed.keys().isdisjoint(text.translate(_PLAIN).split()):
-        at += [(m.start(), m.end()) for m in _TOKEN.finditer(text) if m[0] in listed]
-        at.sort()
-    out: list[list[int]] = []
-    for a, b in at:
-        lo = max(text.rfind("\n", 0, a) + 1, a - BEFORE)
-        stop = text.find("\n", b)
-        hi = min(len(text) if stop < 0 else stop, b + AFTER)
-        if lo > 0 and text[lo - 1 : lo].strip():
-            cut = max(text.find(" ", lo, a), -1)
-            lo = cut + 1 if cut >= 0 else lo
-        if hi < len(text):
-            cut = text.rfind(" ", b, hi)
-            hi = cut if cut >= 0 and text[hi : hi + 1].strip() else hi
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
-
-
-_PLAIN = str.maketrans({c: " " for c in "\n\t.,;:()[]<>!?।꯫\"“”'’|"})
+_TITLE = re.compile(r"(?:" + "|".join(t for x in TITLES.values() for t in x) + r")\.?\s+")
 
 
 def shape(w: str) -> str:
@@ -79,199 +88,293 @@ def shape(w: str) -> str:
     return {0x9: "d" if o < 0x980 else "b", 0xA: "m", 0xAB: "m", 0xAA: "m"}.get(o >> 8, "s") if w[0].isalpha() or o > 0x900 else w
 
 
-def token_features(text: str, listed: dict[str, str]) -> tuple[list[tuple[int, int]], list[list[int]]]:
-    spans = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-    raw = [unicodedata.normalize("NFKC", text[a:b]) or text[a:b] for a, b in spans]
-    low = [w.lower() for w in raw]
-    kinds = [shape(w) for w in raw]
-    group = [""] * len(spans)
-    k = 0
-    for m in _GROUP.finditer(text):
-        digits = sum(c.isdigit() for c in m[0])
-        if digits < 3:
+def code(s: str) -> int:
+    return zlib.crc32(s.encode("utf-8", "surrogatepass")) + 1
+
+
+class Tokens(dict):
+    """Token to its number, filled in on first sight; by number: codes of its lower case (digits: of their count), of its
+    shape, and of the list it is on."""
+
+    def __init__(self, listed: dict[str, str]):
+        super().__init__()
+        self.listed, self.rows, self.made = listed, [], np.zeros((0, 4), np.uint64)
+
+    def __missing__(self, raw: str) -> int:
+        w = unicodedata.normalize("NFKC", raw) or raw
+        s = shape(w)
+        on = self.listed.get(w) or self.listed.get(w.title() if w.isascii() else w, "")
+        speaks = (w[0].isalpha() or ord(w[0]) > 0x900) and w.lower() not in COUNTING
+        self.rows.append((code(s if w[0].isdigit() else w.lower()), code(s), {"": 1, "G": 2, "F": 3}[on], speaks))
+        k = self[raw] = len(self.rows) - 1
+        return k
+
+    def codes(self) -> np.ndarray:
+        if len(self.made) < len(self.rows):
+            self.made = np.concatenate([self.made, np.array(self.rows[len(self.made) :], np.uint64)])
+        return self.made
+
+    def fresh(self) -> None:
+        if len(self.rows) > MAX_CACHE:
+            self.clear()
+            self.rows, self.made = [], np.zeros((0, 4), np.uint64)
+
+    def __reduce__(self):
+        return Tokens, (self.listed,)
+
+
+def features(lines: list[str], tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers of each token, one template a column; tokens of each line)."""
+    cut = [_TOKEN.findall(x) for x in lines]
+    length = np.array([len(x) for x in cut], np.int64)
+    n = int(length.sum())
+    ids = np.fromiter(map(tokens.__getitem__, chain.from_iterable(cut)), np.int64, n)
+    w, s, l, speaks = (np.ascontiguousarray(c) for c in tokens.codes()[ids].T) if n else (np.zeros(0, np.uint64),) * 4  # noqa: E741
+    row = np.repeat(np.arange(len(lines)), length)
+    digits, form, mail, first = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    start = np.cumsum(length) - length
+    for i, line in enumerate(lines):
+        numbers, post = _SOME.search(line), "@" in line or "＠" in line or "dot" in line
+        if not numbers and not post:
             continue
-        form = "".join("0" if c.isdigit() else "_" if c.isspace() else c for c in m[0])
-        while k < len(spans) and spans[k][0] < m.start():
-            k += 1
-        j = k
-        while j < len(spans) and spans[j][1] <= m.end():
-            group[j] = f"{digits}|{form}"
-            j += 1
-    mail = [False] * len(spans)
-    if "@" in text or "＠" in text or "at" in text:
-        for m in _MAIL.finditer(text):
+        spans = [m.span() for m in _TOKEN.finditer(line)]
+        k = 0
+        for m in _GROUP.finditer(line) if numbers else ():
+            count = sum(c.isdigit() for c in m[0])
+            if count < 3:
+                continue
+            look = code("".join("0" if c.isdigit() else "_" if c.isspace() else c for c in m[0]))
+            while k < len(spans) and spans[k][0] < m.start():
+                k += 1
+            at = int(start[i]) + k
+            if k < len(spans):
+                first[at] = 1
+            while k < len(spans) and spans[k][1] <= m.end():
+                digits[start[i] + k], form[start[i] + k] = count, look
+                k += 1
+        for m in _MAIL.finditer(line) if post else ():
             if re.search(r"[@＠\[(]|\sdot\s", m[0]):
                 for j, (a, b) in enumerate(spans):
-                    mail[j] |= m.start() <= a and b <= m.end()
-    name = [listed.get(w) or listed.get(w.title() if w.isascii() else w, "") for w in raw]
-    n, out = len(spans), []
-    for i in range(n):
-        p1, p2, p3 = (low[i - 1] if i else "^"), (low[i - 2] if i > 1 else "^"), (low[i - 3] if i > 2 else "^")
-        n1, n2 = (low[i + 1] if i + 1 < n else "$"), (low[i + 2] if i + 2 < n else "$")
-        s, sp, sn = kinds[i], (kinds[i - 1] if i else "^"), (kinds[i + 1] if i + 1 < n else "$")
-        sp2, sn2 = (kinds[i - 2] if i > 1 else "^"), (kinds[i + 2] if i + 2 < n else "$")
-        g = group[i]
-        bits = [
-            "b", f"s={s}", f"w={low[i]}" if not g else f"g={g.split('|')[0]}", f"p1={p1}", f"p2={p2}", f"p3={p3}", f"n1={n1}", f"n2={n2}", f"ss={sp}_{s}", f"sn={s}_{sn}", f"sss={sp2}_{sp}_{s}", f"nnn={s}_{sn}_{sn2}",
-            f"l={name[i]}", f"lp={name[i - 1] if i else ''}_{name[i]}", f"ln={name[i]}_{name[i + 1] if i + 1 < n else ''}", f"p1s={p1}_{s}", f"m={int(mail[i])}", f"m2={int(mail[i - 1]) if i else 0}{int(mail[i])}",
-        ]
-        if g:
-            first = not (i and group[i - 1] == g)
-            bits += [f"gf={g.split('|')[1]}", f"gb={g.split('|')[1]}_{int(first)}", f"gp={p1 if first else '.'}_{g.split('|')[0]}"]
-        out.append([feature(x, SIZE) for x in bits])
-    return spans, out
-
-
-# The labelled table. {N} name, {T} title, {E} mail, {P} phone, {I} identity number, {A} address; the rest is outside.
-# {L} a place, {W} a thing, {D} digits of no personal kind.
-FRAMES = {
+                    if m.start() <= a and b <= m.end():
+                        mail[start[i] + j] = 1
+
+    def near(x: np.ndarray, k: int) -> np.ndarray:
+        """x of the token k places before (after, if negative), 0 outside the line."""
+        out = np.zeros(n, np.uint64)
+        if k > 0 and k < n:
+            out[k:] = np.where(row[k:] == row[:-k], x[:-k], 0)
+        elif k < 0 and -k < n:
+            out[:k] = np.where(row[:k] == row[-k:], x[-k:], 0)
+        return out
+
+    w1, w2, w3, v1, v2 = near(w, 1), near(w, 2), near(w, 3), near(w, -1), near(w, -2)
+    s1, s2, t1, t2 = near(s, 1), near(s, 2), near(s, -1), near(s, -2)
+    l1, k1 = near(l, 1), near(l, -1)
+    # the word that may announce a token: the nearest of the three before it that isn't a sign or "No."
+    told = np.where(near(speaks, 1) > 0, w1, np.where(near(speaks, 2) > 0, w2, np.where(near(speaks, 3) > 0, w3, 0)))
+    number = digits > 0
+    parts = [(), (s,), (w,), (w1,), (w2,), (w3,), (v1,), (v2,), (s1, s), (s, t1), (s2, s1, s), (s, t1, t2), (l, s), (l1, l), (l, k1), (w1, s), (s, v1), (told,), (told, s), (mail, near(mail, 1)), (digits,), (form,), (form, first), (np.where(first > 0, told, 1), digits)]
+    out = np.empty((n, len(parts)), np.int32)
+    with np.errstate(over="ignore"):
+        for j, own in enumerate(parts):
+            x = np.full(n, (j + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, np.uint64)
+            for y in own:
+                x = (x ^ y) * np.uint64(0xD6E8FEB86659FD93)
+                x ^= x >> np.uint64(32)
+            out[:, j] = 1 + (((x >> np.uint64(32)) * np.uint64(SIZE - 1)) >> np.uint64(32)).astype(np.int32)
+            if j >= len(parts) - 4:
+                out[~number, j] = 0
+    return out, length
+
+
+# Forms of addresses, phone numbers, mail addresses and identity numbers. {L} a place, {h} a house, {w} a ward,
+# {z} a postal code, {dN} N digits, {uN} N capitals, {a} and {b} five digits each, others names or words.
+STREETS = {  # house; street; what may follow; postal code
     "latin": (
-        "The {W} was signed by {N}.", "The {W} was signed by {T} {N}.", "Compiled by {N} and printed at the {W}.", "“We lost the {W},” said {N}.", "“We lost the {W},” said {T} {N}.", "Name of applicant: {N}", "Name: {N}", "A cousin of {N} kept the {W}.", "{N} kept the {W}.", "{T} {N} kept the {W}.", "In the end {N} repaired the {W} alone.",
-        "{N}, aged 43, owns the {W}.", "{T} {N}, aged 51, owns the {W}.", "The {W} belongs to {N} of {L}.", "{N} wrote to {T} {N} about the {W}.", "maming: {N}", "{W} maming {N} {W} {W}.", "{W}gi maming {N}na {W} {W}.", "Thanks go to {N} for the {W}.", "Written by {N} in {L}.", "Author: {N}", "{N} (born in {L}) sold the {W}.",
-        "Call {P} after dawn.", "Phone: {P}", "phone {P} {W}.", "Mobile {P} ({N})", "WhatsApp {P} for the weekly {W}.", "Reach the office on {P} (evenings only).", "Ring the office on {P} before noon.", "{W} phone: {P} {W} {W}", "Tel. {P}, fax none.", "({W} phone {P}) {W}",
-        "Write to {E} for the {W}.", "Email: {E}", "e-mail {E} {W} {W}.", "mailto:{E} is printed on the last page of the letter.", "Contact {E} or {P}.", "{E} answers within a week.", "The {W} ({E}) is open.",
-        "The Aadhaar {I} belongs to the owner of the {W}.", "Aadhaar No. {I} was written on the {W}.", "Owner's Aadhaar: {I}.", "He showed {I} as proof.", "PAN: {I}", "The PAN {I} belongs to the owner.", "PAN No. {I} was pasted beside the {W}.", "PAN:{I} appears on the {W} form.", "passport {I} was found in the {W}.", "passport No. {I} was pasted beside the {W}.", "passport:{I} appears on the form.", "voter card {I} was found in the road.", "voter card:{I} appears on the {W} form.", "Aadhaar:{I} appears on the {W} form.", "{I} appears on the {W} form.", "passport {I} {W} {W}.", "{W} PAN: {I}",
-        "The {W} was delivered at {A} last week.", "Parcels go to {A}.", "Address: {A}", "They moved from {A} after the flood.", "Visit the owner at home ({A}) to see the {W}.", "leipham: {A}", "{W} leipham {A} {W} {W}.", "She lives at {A}, near the {W}.",
-        # outside
-        "The {L} Memorial Library lent the {W} to {L} Road Primary School.", "The {L} Cup was won by {L} at minute 27.", "Block ABCDE{D4}F of the {W} grid was left blank.", "Order {D10} for the {W} was late.", "Batch {D3}-{D3}-{D4} of the {W} arrived.", "Version 5.4.{D2}.7 of the {W} is out.", "They replaced ISBN 979-0-{D4}-{D4} on the shelf.", "{W} ISBN 979-{D4}-{D4} {W}.", "Between 19{D2} and 20{D2}, the {W} of {L} had {D4} roofs.", "About {D3} people painted the {W} at {L}.",
-        "Archive {D4}-{D4} of the {W} is closed.", "{W} {D2}-{D2}-20{D2} {W}.", "{W} {D4}-{D4} {W}", "Receipt no. {D8} was kept.", "See https://www.{W}.example/{D4} for the {W}.", "The {L} Bridge and the {L} Market stayed open.", "Nobody in {L} knew why the {W} was sold.", "In {L} the {W} was sold near the old ferry.", "Most residents of {L} say the {W} was sold.", "The {W} stood at {D6} for a year.", "Account {D10} of the {L} Bank was closed.", "{L} High School, {L} Road, opened in 19{D2}.", "THE {W} OF {L} HAD ALREADY BEEN SOLD.", "The Deep {W} Of {L}", "Lot {D6}, shelf {D4}, {L} Museum", "Serial {D12} of the pump was worn.", "{D9} {D9} {D8} {D9}", "New {L} Road is closed.",
+        ("House No. {h}, ", "H/No {h}, ", "{h} ", "{h}, ", "{h}/{w} ", "Flat {w}{u1}, {h} ", "Flat {w}, ", "Plot {h}, ", "Qtr. No. {h}, "),
+        ("{L} Road", "{L} Cross Road", "{L} Street", "{L} Lane", "{L} Avenue", "{L} Path", "{L} Bazar Road", "{L} Leikai", "{L} Colony"),
+        (", {L}", ", Ward {w}, {L}", ", P.O. {L}", ", {L}, {L}"),
+        (" {z}", " - {z}", "-{z}", ", {z}", ", PIN {z}"),
     ),
     "bengali": (
-        "আবেদনকারীর নাম: {N}", "গতকাল {N} এই {W} পড়েছেন।", "লেখক {N} {L} থাকেন।", "লেখক {T} {N} বলেছেন।", "{T} {N} এই {W} পড়েছেন।", "{N} বলেন, {W} হবে।", "নাম: {N}", "মমিং: {N}", "{W} মমিং {N} {W} {W}।", "মমিং {N} {W} {W}।", "{W} {W} মমিং {N} {W}।", "{T} {N} {W} {W}।",
-        "ফোন: {P}", "ফোন {P} {W} {W}।", "({W} ফোন {P}) {W}।", "ফোন: {P} {W} {W}।", "মোবাইল {P} {W}।", "ফোন নম্বর {P} {W}।", "ইমেল: {E}", "ইমেল {E} {W} {W}।", "চিঠি {E} ঠিকানায় পাঠান।",
-        "আধার {I} লেখা আছে।", "আধার নং: {I} {W} {W}।", "আধার: {I}", "পাসপোর্ট: {I}", "পাসপোর্ট {I} লেখা আছে।", "প্যান কার্ড {I} জমা দেওয়া হয়েছে।", "প্যান: {I} {W}", "পেন {I} {W} {W}।", "({W} পেন {I}) {W}।", "ভোটার কার্ড {I} {W}।",
-        "ঠিকানা: {A}", "তিনি থাকেন {A} এই ঠিকানায়।", "লৈফম: {A}", "{W} লৈফম {A} {W} {W}।", "({W} লৈফম {A}) {W}।", "{A} বাড়িতে আসে।",
-        "{W} ISBN ৯৭৯-{D4}-{D4} {W}।", "{W} {D4}-{D4} {W} {W}।", "{W} {D2}-{D2}-20{D2} {W}।", "{W} {D3} {W} {W}।", "অর্ডার {D10} {W}।", "{L} {W} মেমোরিয়াল {W}।", "{W} {W} {W}, {W} {W}।", "{L} সড়ক {W} আছে।",
+        ("{h} ", "{h}, ", "{h}/{w} ", "বাড়ি {h}, ", "বাড়ি নং {h}, ", "য়ুম নং {h}, "),
+        ("{L} সড়ক", "{L} রোড", "{L} গলি", "{L} লৈকাই"),
+        (", {L}", ", ওয়ার্ড {w}, {L}", ", ডাকঘর {L}"),
+        (" {z}", " - {z}", ", {z}"),
     ),
     "devanagari": (
-        "{T} {N} ने कहा कि {W} नया है।", "नाम: {N}", "आवेदक का नाम: {N}", "कल {N} यह {W} लाए।", "लेखक {N} {L} में रहते हैं।", "{N} ने {W} लिखा है।", "लेखक {T} {N} ने {W} लिखा।",
-        "फ़ोन: {P}", "फ़ोन नंबर {P} और {W}।", "फोन {P} पर बात करें।", "मोबाइल {P} {W}।", "ईमेल: {E}", "पत्र {E} पर भेजें।", "आधार {I} जमा है।", "आधार: {I}", "आधार सं. {I} {W}।", "पासपोर्ट सं. {I}", "पासपोर्ट {I} {W}।", "पैन कार्ड {I} लिखा है।", "पैन: {I}", "मतदाता पत्र {I} {W}।", "पता: {A}", "वे {A} में रहते हैं।", "({W} पता {A}) {W}।",
-        "{W} ISBN 979-{D4}-{D4} {W}।", "{W} {D4}-{D4} {W} है।", "{W} {D2}-{D2}-20{D2} {W}।", "{W} {D3} {W} {W} है।", "आदेश {D10} {W}।", "{L} स्मारक {W} है।", "{L} मार्ग {W} है।",
+        ("{h} ", "{h}, ", "{h}/{w} ", "मकान {h}, ", "मकान नं {h}, "),
+        ("{L} मार्ग", "{L} सड़क", "{L} गली", "{L} रोड"),
+        (", {L}", ", वार्ड {w}, {L}", ", डाकघर {L}"),
+        (" {z}", " - {z}", ", {z}"),
     ),
     "meitei": (
-        "ꯃꯃꯤꯡ: {N}", "{W} ꯃꯃꯤꯡ {N} {W} {W}꯫", "ꯃꯃꯤꯡ {N} {W} {W}꯫", "{W} {W} ꯃꯃꯤꯡ {N} {W}꯫", "ꯐꯣꯟ: {P}", "ꯐꯣꯟ {P} {W}꯫", "({W} ꯐꯣꯟ {P}) {W}꯫", "ꯐꯣꯟ: {P} {W} {W}꯫", "ꯏꯃꯦꯜ: {E}", "ꯏꯃꯦꯜ {E} {W}꯫", "ꯑꯥꯙꯥꯔ {I} {W}꯫", "ꯑꯥꯙꯥꯔ: {I}", "ꯄꯥꯁꯄꯣꯔꯠ: {I}", "ꯄꯥꯁꯄꯣꯔꯠ {I} {W}꯫", "ꯄꯦꯟ {I} {W}꯫", "({W} ꯄꯦꯟ {I}) {W}꯫", "ꯚꯣꯇꯔ ꯀꯥꯔꯗ {I} {W}꯫",
-        "ꯂꯩꯐꯝ: {A}", "{W} ꯂꯩꯐꯝ {A} {W}꯫", "({W} ꯂꯩꯐꯝ {A}) {W}꯫", "{W} ISBN 979-{D4}-{D4} {W}꯫", "{W} {D4}-{D4} {W}꯫", "{W} {D2}-{D2}-20{D2} {W}꯫", "{W} {D3} {W} {W}꯫", "{W} {W} {W}, {W} {W}꯫",
+        ("{h} ", "{h}, ", "{h}/{w} ", "ꯌꯨꯝ {h}, ", "ꯌꯨꯝ ꯅꯪ {h}, "),
+        ("{L} ꯂꯩꯀꯥꯏ", "{L} ꯂꯝꯕꯤ"),
+        (", {L}", ", ꯋꯥꯔ꯭ꯗ {w}, {L}"),
+        (" {z}", " - {z}", ", {z}"),
     ),
 }
-STREETS = {
-    "latin": ("House No. {h}, {L} Road, {L} {z}", "H/No {h}, {L} Cross Road, P.O. {L}, {z}", "{h} {L} Street, Ward {w}, {L} - {z}", "{h}/{w} {L} Lane, Ward {w}, {L} - {z}", "Flat {w}A, {h} {L} Road, {L} {z}", "Plot {h}, {L} Street, {L}-{z}", "{h} {L} Cross Road, {L}, PIN {z}", "{h}, {L} Leikai Road, {L} {z}", "House No. {h}, {L} Avenue, {L}, {z}", "H/No {h}, {L} Path, P.O. {L}, {z}", "{h} {L} Bazar Road, {L}, PIN {z}", "Flat {w}, {L} Avenue, {L}, {z}", "Qtr. No. {h}, {L} Colony, {L} {z}"),
-    "bengali": ("{h} {L} সড়ক, ওয়ার্ড {w}, {L} {z}", "বাড়ি নং {h}, {L} সড়ক, {L}, {z}", "য়ুম নং {h}, {L} লৈকাই, {L}, {z}", "{h} {L} লৈকাই, ওয়ার্ড {w}, {L} {z}", "য়ুম নং {h}, {L} লৈকাই, {L} - {z}", "বাড়ি {h}, {L} রোড, {L} - {z}", "{h} {L} গলি, ওয়ার্ড {w}, {L} - {z}"),
-    "devanagari": ("मकान नं {h}, {L} मार्ग, {L}, {z}", "{h} {L} मार्ग, वार्ड {w}, {L} {z}", "मकान {h}, {L} गली, {L} - {z}", "{h} {L} सड़क, वार्ड {w}, {L} - {z}"),
-    "meitei": ("ꯌꯨꯝ {h}, {L} ꯂꯩꯀꯥꯏ, {L}, {z}", "{h} {L} ꯂꯩꯀꯥꯏ, ꯋꯥꯔ꯭ꯗ {w}, {L} {z}", "ꯌꯨꯝ {h}, {L} ꯂꯩꯀꯥꯏ, {L} - {z}", "ꯌꯨꯝ ꯅꯪ {h}, {L} ꯂꯩꯀꯥꯏ, {L} {z}"),
-}
 PHONES = ("+91{a}{b}", "+91-{a}{b}", "+91 {a} {b}", "0091 {a}.{b}", "{a}{b}", "{a} {b}", "0{a}-{b}", "0385-2{d6}", "(0385) 2{d3} {d3}", "{d3}-{d3}-{d4}", "0385 2{d6}", "91 {a}-{b}", "+91 (385) 2{d6}")
 MAILS = ("{x}@{y}.test", "{x}.{z}@{y}.example", "{x}_{d2}@mail.{y}.invalid", "{x}+{z}@{y}.test", "{x}.{z} [at] {y} [dot] example", "{x}[at]{y}[dot]ac[dot]test", "{x}.{z} at {y} dot ac dot test", "{x}_{d2} @ mail.{y}.invalid", "{x}-{z}＠{y}-press.test", "{x} (at) {y} (dot) test")
 IDS = ("{d4} {d4} {d4}", "{d4}-{d4}-{d4}", "{d12}", "{u1}{d7}", "{u5}{d4}{u1}", "{u5} {d4} {u1}", "{u3}{d7}", "{d4} {d4} {d4}", "{d4}-{d4}-{d4}")
-PLACES = ("The {0} Memorial Library lent the {1} to {2} Road Primary School.", "The {0} Cup was won by {2} at minute 27.", "The {0} Memorial Hall stood near {2} Market.", "The {0} Trophy went to {2} after the rains.", "In {0} the {1} crossed {2} Bridge.", "The {0} Foundation paid for the {1}.", "{0} Stadium and {2} High School are closed.", "It was sent to {0} Road Primary School.", "The {0} Shield, the {2} Cup and the {1} were lost.")
-NUMBERED = ("batch", "accession", "order", "serial", "catalogue", "invoice", "ticket", "account", "receipt", "shelf", "register", "case", "lot", "block", "ISBN", "archive", "parcel", "model", "licence", "file", "entry", "volume")
 DIGITS = {"latin": "0123456789", "bengali": "০১২৩৪৫৬৭৮৯", "devanagari": "०१२३४५६७८९", "meitei": "꯰꯱꯲꯳꯴꯵꯶꯷꯸꯹"}
 
 
-def training(parts: list[tuple[str, str, str]], samples: list[tuple[str, str]], copies: int = 4, seed: int = 11) -> tuple[list, dict[str, str]]:
-    """Labelled sequences from the frames, and the full name list; parts: (name, kind, script), samples: (text, script)."""
+def filled(pattern: str, script: str, rng: np.random.Generator, names: list[str], pool: list[str]) -> str:
+    """A form with its places filled by digits, names and words."""
+    ds = DIGITS[script] if script != "latin" and rng.random() < 0.5 else DIGITS["latin"]
+    pick = lambda xs: xs[int(rng.integers(len(xs)))]
+    num = lambda n: "".join(ds[int(i)] for i in rng.integers(0, 10, n))
+
+    def one(m: re.Match) -> str:
+        k = m[1]
+        if k in "ab":
+            return num(5)
+        if k[0] == "d" and k[1:]:
+            return num(int(k[1:]))
+        if k[0] == "u":
+            return "".join(chr(65 + int(i)) for i in rng.integers(0, 26, int(k[1:])))
+        if k == "L":
+            w = pick(names) if rng.random() < 0.5 else pick(pool)
+            return w.title() if script == "latin" else w
+        if k == "h":
+            return num(int(rng.integers(1, 4))).lstrip(ds[0]) or ds[1]
+        if k == "w":
+            return num(int(rng.integers(1, 3)))
+        if k in "xy" or pattern in MAILS:
+            return (pick(names) if rng.random() < 0.6 else pick(pool)).lower()
+        return ds[int(rng.integers(1, 9))] + num(5) if rng.random() < 0.8 else ds[int(rng.integers(1, 9))] + num(2) + " " + num(3)
+
+    return re.sub(r"\{(\w+)\}", one, pattern)
+
+
+def training(parts: list[tuple[str, str, str]], samples: list[tuple[str, str]], many: int = 6000, seed: int = 11) -> tuple[list, dict[str, str]]:
+    """Labelled sequences, and the full name list; parts: (name, kind, script), samples: (text, script)."""
     rng = np.random.default_rng(seed)  # one fixed stream: the table is the same every time
     listed = {n: ("G" if k == "given" else "F") for n, k, _ in parts}
-    by = {s: [n for n, _, t in parts if t == s] for s in FRAMES}
-    lexicon = {n: k for i, (n, k) in enumerate(listed.items()) if i % 2}
-    pool = {s: [w for t, x in samples if x == s for w in re.findall(r"[^\s\d!-/:-@।꯫“”]+", t)] or ["x"] for s in FRAMES}
+    told = Tokens({n: k for i, (n, k) in enumerate(listed.items()) if i % 2})
+    by = {s: [n for n, _, t in parts if t == s] or ["x"] for s in LABELS}
+    texts = {s: [" ".join(t.split()) for t, x in samples if x == s] or ["x y z."] for s in LABELS}
+    pool = {s: [w for t in texts[s] for w in re.findall(r"[^\s\d!-/:-@।꯫“”]+", t)] or ["x"] for s in LABELS}
+    own_letters = {"latin": "x", "bengali": "b", "devanagari": "d", "meitei": "m"}
+    pool = {s: [w for w in ws if shape(w)[0].lower() == own_letters[s]] or ws for s, ws in pool.items()}
+    known = {s: [n for n in by[s] if n in told.listed] or ["x"] for s in LABELS}
+    scripts = list(LABELS)
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
-
-    def digits(n: int, script: str) -> str:
-        ds = DIGITS[script] if script != "latin" and rng.random() < 0.5 else DIGITS["latin"]
-        return "".join(ds[int(i)] for i in rng.integers(0, 10, n))
-
-    def fill(pattern: str, script: str) -> str:
-        ds = DIGITS[script] if script != "latin" and rng.random() < 0.5 else DIGITS["latin"]
-        num = lambda n: "".join(ds[int(i)] for i in rng.integers(0, 10, n))
-        up = lambda n: "".join(chr(65 + int(i)) for i in rng.integers(0, 26, n))
-
-        def one(m: re.Match) -> str:
-            k = m[1]
-            if k in "ab":
-                return num(5)
-            if k[0] == "d" and k[1:]:
-                return num(int(k[1:]))
-            if k[0] == "u":
-                return up(int(k[1:]))
-            if k == "L":
-                return pick(by[script]) if rng.random() < 0.5 else (pick(pool[script]).title() if script == "latin" else pick(pool[script]))
-            if k == "h":
-                return num(int(rng.integers(1, 4))).lstrip(ds[0]) or ds[1]
-            if k == "w":
-                return num(int(rng.integers(1, 3)))
-            if pattern in MAILS:
-                return (pick(by["latin"]) if rng.random() < 0.6 else pick(pool["latin"])).lower()
-            return ds[7] + ds[9] + (num(4) if rng.random() < 0.8 else num(1) + " " + num(3))  # z: postal code
-
-        return re.sub(r"\{(\w+)\}", one, pattern)
-
-    def name(script: str) -> str:
-        made = lambda: pick(by[script]) if rng.random() < 0.75 else (pick(pool["latin"]).title() if script == "latin" else pick(pool[script]))
-        x = [made(), made()] if rng.random() < 0.9 else [made(), made(), made()]
-        if script == "latin" and rng.random() < 0.25:
+    lot = rng.random
+
+    def mixed(w: str) -> str:
+        """A word no sample has, of the same look: most words of texts are none of the samples'."""
+        if not w.isalpha() and w.isascii() or len(w) < 4:
+            return w
+        end = w[-1] if w[-1] in ".,;:?!।꯫" else ""
+        inside = list(w[1 : len(w) - len(end)])
+        rng.shuffle(inside)
+        return w[0] + "".join(inside) + end
+
+    def name(script: str, bare: bool) -> str:
+        """bare: nothing announces it. Letters without capitals then show a name by parts on the list only."""
+        made = lambda: pick(by[script]) if lot() < 0.75 else pick(pool[script]).title() if script == "latin" else pick(pool[script])
+        x = [made() for _ in range(2 if lot() < (0.9 if script == "latin" else 0.97) else 3)]
+        if bare and script != "latin":
+            x = [v if v in told.listed or (j and lot() < 0.3) else pick(known[script]) for j, v in enumerate(x)]
+        if script == "latin" and lot() < 0.25:
             x[int(rng.integers(2))] = chr(65 + int(rng.integers(26))) + "."
-        s = (", " if script == "latin" and rng.random() < 0.15 else " ").join(x)
-        return s.upper() if script == "latin" and rng.random() < 0.15 else s
+        v = (", " if script == "latin" and lot() < 0.1 else " ").join(x)
+        return v.upper() if script == "latin" and lot() < 0.15 else v
+
+    def value(kind: str, script: str, label: str) -> str:
+        if kind == "id_number":
+            short = re.search(r"(?i)aadhaar|uid|আধার|आधार|ꯑꯥꯙꯥꯔ", label)
+            long = re.search(r"(?i)pan\b|passport|voter|licence|প্যান|পেন|পাস|ভোটার|पैन|पास|मतदाता|ꯄꯦꯟ|ꯄꯥꯁ|ꯚꯣ", label)
+            form = pick([f for f in IDS if ("{u" in f) == bool(long)] if short or long else IDS)
+        else:
+            form = "".join(pick(x) for x in STREETS[script]) if kind == "address" else pick(PHONES if kind == "phone" else MAILS)
+        own = script if kind == "address" or "{u" not in form and kind != "email" else "latin"
+        return filled(form, own, rng, by[own if kind != "phone" else script], pool[own])
+
+    def held(kind: str, script: str) -> list[tuple[str, str | None]]:
+        """A value with or without what announces it."""
+        label = pick(LABELS[script][kind]) if lot() < {"name": 0.5, "email": 0.5, "phone": 0.65, "id_number": 0.85, "address": 0.5}[kind] else ""
+        out: list[tuple[str, str | None]] = []
+        if label:
+            label = label.capitalize() if lot() < 0.4 and not label.isupper() else label
+            if kind in ("phone", "id_number") and lot() < 0.3:
+                label += " " + pick(NUMBER[script])
+            out.append((label + pick((": ", " ", ":", " - ", " ") if kind != "name" or script != "latin" or lot() < 0.7 else (" of ", ": ")), None))
+        elif kind == "name" and lot() < 0.6:
+            out.append((pick(TITLES[script]) + pick((". ", " ")), None))
+        if kind == "email" and lot() < 0.2:
+            return [*out, (value(kind, script, label).upper(), kind)]
+        out.append((name(script, not out) if kind == "name" else value(kind, script, label), kind))
+        return out
+
+    def other(script: str) -> list[tuple[str, str | None]]:
+        """What only looks like a value."""
+        k = pick((0, 0, 1, 2, 2, 2, 3, 4, 5, 6))
+        own = pick(by[script]) if lot() < 0.6 else pick(pool[script]).title()
+        if k == 0:
+            v = " ".join([own, *([pick(by[script])] if lot() < 0.4 else []), *(["Memorial"] if script == "latin" and lot() < 0.25 else []), pick(PLACES[script]), *([pick(PLACES[script])] if lot() < 0.2 else [])])
+        elif k == 1:
+            v = own
+        elif k == 2:
+            form = pick(("{d3}-{d3}-{d4}", "{d10}", "{d4} {d4} {d4}", "{d12}", "{d4}-{d4}-{d4}", "{u1}{d7}", "{u5}{d4}{u1}", "{d8}", "{d4}-{d4}", "978-{d1}-{d4}-{d4}-{d1}", "{d6}", "{u2}-{d4}"))
+            v = pick(THINGS[script]) + pick((" ", " no. ", ": ")) + filled(form, script, rng, by[script], pool[script])
+        elif k == 3:
+            v = filled(pick(("{d2}-{d2}-{d4}", "{d4}", "{d3}", "{d2}.{d2}.{d4}", "{d1},{d3}", "{d1}.{d1}.{d2}", "{d2}:{d2}", "{d4}-{d2}")), script, rng, by[script], pool[script])
+        elif k == 4:
+            v = pick(("https://www.{y}.example/{d4}", "http://{y}.test/{x}?id={d6}", "www.{y}.test/{d3}"))
+            v = filled(v, "latin", rng, by["latin"], pool["latin"])
+        elif k == 5 and script != "latin":  # words of another script
+            v = " ".join(pick(pool["latin"]).lower() for _ in range(int(rng.integers(1, 3))))
+        elif k == 5:
+            v = pick(pool[scripts[int(rng.integers(1, 4))]])
+        else:
+            v = " ".join(pick(pool[script]).title() for _ in range(int(rng.integers(3, 6)))) if script == "latin" else pick(by[script])
+        return [(v, None)]
 
     out = []
-    for script, frames in FRAMES.items():
-        for c in range(copies * (1 if script == "latin" else 2)):
-            for f in frames:
-                text, marks = "", []
-                pos = 0
-                for m in re.finditer(r"\{(\w+)\}", f):
-                    text += f[pos : m.start()]
-                    k, kind = m[1], None
-                    if k == "N":
-                        v, kind = name(script), "name"
-                    elif k == "T":
-                        v = pick(TITLES[:9] if script == "latin" else [t for t in TITLES if shape(t) == shape(pool[script][0])] or TITLES[:3]) + ("." if rng.random() < 0.4 else "")
-                    elif k == "E":
-                        v, kind = fill(pick(MAILS), "latin"), "email"
-                    elif k == "P":
-                        v, kind = fill(pick(PHONES), script), "phone"
-                    elif k == "I":
-                        form = pick(IDS[3:] if re.search(r"(?i)passport|pan\b|pan:|voter|পাস|প্যান|পেন|ভোটার|पास|पैन|मत|ꯄꯥꯁ|ꯄꯦꯟ|ꯚꯣ", f) else IDS[:3] if re.search(r"(?i)aadhaar|আধার|आधार|ꯑꯥꯙꯥꯔ|He showed|^\{I\}", f) else IDS)
-                        v, kind = fill(form, script if "{u" not in form else "latin"), "id_number"
-                    elif k == "A":
-                        v, kind = fill(pick(STREETS[script]), script), "address"
-                    elif k == "L":
-                        v = fill("{L}", script)
-                    elif k == "W":
-                        v = pick(pool[script])
-                    else:
-                        v = digits(int(k[1:]), script)
-                    if kind:
-                        marks.append((len(text), len(text) + len(v), kind))
-                    text += v
-                    pos = m.end()
-                text += f[pos:]
-                spans, feats = token_features(text, lexicon)
-                tags = []
-                for a, b in spans:
-                    held = next(((x, k) for x, y, k in marks if x <= a < y), None)
-                    tags.append(0 if held is None else TAGS.index(("B-" if a == held[0] else "I-") + held[1]))
-                out.append((feats, tags))
-    for i in range(120):  # places and institutions called after persons
-        text = PLACES[i % len(PLACES)].format(pick(by["latin"]), pick(pool["latin"]), pick(by["latin"]))
-        _, feats = token_features(text, listed if i % 3 else lexicon)
-        out.append((feats, [0] * len(feats)))
-    for i, word in enumerate(NUMBERED):  # numbers that name things, in the shapes of those that name persons
-        for j, form in enumerate(("{d3}-{d3}-{d4}", "{d10}", "{d4} {d4} {d4}", "{d12}", "{d4}-{d4}-{d4}", "{u1}{d7}", "{u5}{d4}{u1}", "0{a}-{b}", "{d8}", "{d4}-{d4}", "79{d4}")):
-            v = fill(form, "latin")
-            f = ("{0} {1} of the {2} failed its test.", "The {2} is filed under {3} {1} in the archive.", "{0} {1} for the {2} was late.", "{2} {3} {1} {2}.", "{0} no. {1} was kept.", "The {3} {1} belongs to the {2}.")[(i + j) % 6]
-            _, feats = token_features(f.format(word.capitalize(), v, pick(pool["latin"]), word), lexicon)
-            out.append((feats, [0] * len(feats)))
-    for i, (t, _) in enumerate(samples[:400]):
-        t = t.upper() if i % 17 == 0 else t.title() if i % 17 == 1 else t
-        _, feats = token_features(t[:300], lexicon)
-        out.append((feats, [0] * len(feats)))
+    for i in range(many):
+        script = "latin" if i % 5 == 4 else scripts[i % 4]
+        ws = [mixed(w) if lot() < 0.6 else w for w in pick(texts[script]).split(" ")]
+        if i % 7 in (2, 5) and len(ws) > 2:  # a sample as it is, sometimes as a heading
+            line = " ".join(ws)
+            line = line.upper() if i % 21 == 5 else line.title() if i % 21 == 12 else line
+            pieces: list[tuple[str, str | None]] = [(line, None)]
+        else:
+            at = int(rng.integers(len(ws) + 1)) if lot() < 0.8 else 0
+            lo, hi = max(0, at - int(rng.integers(1, 9))), at + int(rng.integers(0, 9))
+            kind = pick(("name", "name", "name", "name", "phone", "phone", "id_number", "id_number", "address", "address", "email", "email"))
+            inner = held(kind, script) if i % 4 else other(script)
+            if lot() < 0.2:
+                inner += [(pick((", ", " (", "; ", " ")), None), *(held(pick(KINDS), script) if lot() < 0.6 else other(script))]
+            if lot() < 0.12:
+                inner = [(pick("(<[\"“"), None), *inner, (pick(")>]\"”"), None)]
+            before, after = " ".join(ws[lo:at]), " ".join(ws[at:hi])
+            pieces = [(before + " " if before else "", None), *inner, (pick(("", ",", ".", " ", "")) + (" " + after if after else ""), None)]
+        text, marks = "", []
+        for v, kind in pieces:
+            if kind:
+                marks.append((len(text), len(text) + len(v), kind))
+            text += v
+        feats, length = features([text], told)
+        if not length[0]:
+            continue
+        tags = []
+        for m in _TOKEN.finditer(text):
+            own = next(((x, k) for x, y, k in marks if x <= m.start() < y), None)
+            tags.append(0 if own is None else TAGS.index(("B-" if m.start() == own[0] else "I-") + own[1]))
+        out.append((feats.tolist(), tags))
     return out, listed
 
 
-def trained(parts: list[tuple[str, str, str]], samples: list[tuple[str, str]]) -> tuple[Crf, dict[str, str]]:
+def trained(parts: list[tuple[str, str, str]], samples: list[tuple[str, str]]) -> tuple[Crf, Tokens]:
     seqs, listed = training(parts, samples)
-    return fit(seqs, TAGS, SIZE, rounds=45, rate=0.2, decay=3e-4), listed
+    # a feature seen in few lines tells of those lines, not of a kind
+    often = np.bincount(np.concatenate([np.unique(f) for f, _ in seqs]), minlength=SIZE) >= SEEN
+    seqs = [([[x if often[x] else 0 for x in row] for row in f], y) for f, y in seqs]
+    return fit(seqs, TAGS, SIZE, rounds=60, rate=0.1, decay=1.5e-3), Tokens(listed)
 
 
 def digits_in(s: str) -> int:
@@ -279,81 +382,88 @@ def digits_in(s: str) -> int:
 
 
 def exact(text: str, a: int, b: int, kind: str) -> tuple[int, int] | None:
-    """The span of this kind that overlaps [a, b) in full, or None if what stands there can't be one."""
-    if kind in ("email", "phone", "id_number"):
-        pattern = {"email": _MAIL, "phone": _PHONE, "id_number": _ID}[kind]
-        best = None
-        for m in pattern.finditer(text, max(0, a - 40), min(len(text), b + 40)):
-            x, y = m.span()
-            if x < b and y > a:
-                n = digits_in(m[0])
-                if kind == "phone" and not 10 <= n <= 13:
-                    continue
-                if kind == "id_number" and not (n == 12 or (m[0][0].isalpha() and n in (4, 7))):
-                    continue
-                if kind == "phone" and m[0].startswith("(") and ")" not in m[0]:
-                    x += 1
-                if best is None or y - x > best[1] - best[0]:
-                    best = x, y
-        if best and kind == "phone" and text[best[0] : best[1]].count(")") > text[best[0] : best[1]].count("("):
-            best = best[0], best[0] + len(text[best[0] : best[1]].rstrip(")"))
-        return best
+    """The tagged stretch without titles, closing signs and a bracket left open, or None if it can't be of its kind."""
     if kind == "name" and (m := _TITLE.match(text, a, b)):
         a = m.end()
     while b > a and not (text[b - 1].isalnum() or unicodedata.category(text[b - 1])[0] == "M"):
         if kind == "name" and text[b - 1] == "." and b - 2 >= a and text[b - 2].isupper() and (b - 3 < a or not text[b - 3].isalpha()):
             break
         b -= 1
-    while a < b and not text[a].isalnum():
+    while a < b and not (text[a].isalnum() or kind == "phone" and (text[a] in "+＋" or text[a] == "(" and ")" in text[a:b])):
         a += 1
-    if a >= b:
-        return None
-    if kind == "address":
-        return (a, b) if re.search(r"\d{3}\s?\d{3}$", text[a:b]) and digits_in(text[a:b]) >= 7 else None
-    words = re.findall(r"[^\s,]+", text[a:b])
-    return (a, b) if 2 <= len(words) <= 4 and not digits_in(text[a:b]) and "\n" not in text[a:b] else None
-
-
-def spans_of(texts: list[str | None], crf: Crf, listed: dict[str, str]) -> list[list[tuple[int, int, str]]]:
+    v = text[a:b]
+    n = digits_in(v)
+    if kind == "email":
+        good = bool(re.search(r"[@＠]|\bat\b", v)) and bool(re.search(r"[.．]|\bdot\b", v))
+    elif kind == "phone":
+        good = 10 <= n <= 13
+    elif kind == "id_number":
+        good = n == 12 or (v[:1].isalpha() and 4 <= n <= 8)
+    elif kind == "address":
+        good = n >= 6 and bool(re.search(r"\d$", v))
+    else:
+        good = 2 <= len(re.findall(r"[^\s,]+", v)) <= 4 and not n and "\n" not in v
+    return (a, b) if v and good else None
+
+
+def spans_of(texts: list[str | None], crf: Crf, tokens: Tokens) -> list[list[tuple[int, int, str]]]:
     """(start, end, kind) in each text, in order and apart from each other."""
-    feats: list[list[int]] = []
-    where, length = [], []
-    for i, t in enumerate(texts):
-        if t:
-            for a, b in spread(t, listed):
-                spans, f = token_features(t[a:b], listed)
-                if f:
-                    feats.extend(f)
-                    where.append((i, a, spans))
-                    length.append(len(f))
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    if not feats:
-        return out
-    tags = crf.decode(feats, np.array(length))
-    at = 0
-    for (i, base, spans), n in zip(where, length, strict=True):
-        own = tags[at : at + n]
-        at += n
-        k = 0
-        while k < n:
-            if own[k] == 0:
-                k += 1
-                continue
-            kind = TAGS[own[k]][2:]
-            j = k + 1
-            while j < n and TAGS[own[j]] == f"I-{kind}":
-                j += 1
-            while j < n and kind == "name" and TAGS[own[j]] == "B-name" and texts[i][base + spans[j - 1][1] : base + spans[j][0]] == " ":
-                j += 1
-                while j < n and TAGS[own[j]] == "I-name":
-                    j += 1
-            got = exact(texts[i], base + spans[k][0], base + spans[j - 1][1], kind)
-            if got and not any(x < got[1] and got[0] < y for x, y, _ in out[i]):
-                out[i].append((*got, kind))
-            k = j
+    lines, where = [], []
+    for i, t in enumerate(texts):
+        at = 0
+        for line in (t or "").split("\n"):
+            if line and not line.isspace():
+                lines.append(line)
+                where.append((i, at))
+            at += len(line) + 1
+    step = 4000
+    for lo in range(0, len(lines), step):
+        tokens.fresh()
+        own, places = lines[lo : lo + step], where[lo : lo + step]
+        feats, length = features(own, tokens)
+        u = crf.scores(feats)
+        open_ = np.flatnonzero(~crf.settled(u, length))
+        if not len(open_):
+            continue
+        start = np.cumsum(length) - length
+        some = np.concatenate([np.arange(start[k], start[k] + length[k]) for k in open_])
+        tags = crf.viterbi(u[some], length[open_])
+        at = 0
+        for k in open_:
+            line_tags = tags[at : at + length[k]]
+            at += length[k]
+            if line_tags.any():
+                i, base = places[k]
+                for a, b, kind in tagged(own[k], line_tags.tolist()):
+                    out[i].append((base + a, base + b, kind))
     return [sorted(x) for x in out]
 
 
+def tagged(line: str, tags: list[int]) -> list[tuple[int, int, str]]:
+    """The stretches of a line that its tags name."""
+    spans = [m.span() for m in _TOKEN.finditer(line)]
+    out: list[tuple[int, int, str]] = []
+    k, n = 0, len(tags)
+    while k < n:
+        if tags[k] == 0:
+            k += 1
+            continue
+        kind = TAGS[tags[k]][2:]
+        j = k + 1
+        while j < n and TAGS[tags[j]] == f"I-{kind}":
+            j += 1
+        while j < n and kind == "name" and TAGS[tags[j]] == "B-name" and line[spans[j - 1][1] : spans[j][0]] == " ":
+            j += 1
+            while j < n and TAGS[tags[j]] == "I-name":
+                j += 1
+        got = exact(line, spans[k][0], spans[j - 1][1], kind)
+        if got and not any(x < got[1] and got[0] < y for x, y, _ in out):
+            out.append((*got, kind))
+        k = j
+    return out
+
+
 def masked(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
     if not text or not spans:
         return text
@@ -365,8 +475,9 @@ def masked(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
 
 
 def _held(docs: DataFrame, names: DataFrame, samples: DataFrame):
-    parts = [tuple(r) for r in names.where("name_part is not null").orderBy("part_id").limit(NAMES_AT_MOST).select("name_part", "kind", "script").collect()]
-    texts = [tuple(r) for r in samples.where("text is not null").orderBy("sample_id").limit(2000).select("text", "script").collect()]
+    # the name list is used whole: a stated list that is as large as its rows, not as the documents
+    parts = [tuple(r) for r in names.where("name_part is not null").select("part_id", "name_part", "kind", "script").orderBy("part_id", "name_part").select("name_part", "kind", "script").collect()]
+    texts = [tuple(r) for r in samples.where("text is not null").orderBy("sample_id").limit(SAMPLES).select("text", "script").collect()]
     return docs.sparkSession.sparkContext.broadcast(trained(parts, texts))
 
 

@@ -4,6 +4,7 @@ import difflib
 import functools
 import glob
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -353,10 +354,56 @@ def test_a_page_given_again_counts_its_words_once(spark):
     assert {(r.page_id, r.word, r.right) for r in bad} == {(i, "rnountain", "mountain") for i in range(12, 62)}
 
 
-def test_every_label_opens_a_stretch():
-    for label in (x for x in pii.LABELS if not x.isascii()):
-        for end in (" ক খ", ": ক খ"):
-            assert pii.spread(f"{label}{end}", {}), label
+@pytest.fixture(scope="module")
+def field(data):
+    """The field, trained on two thirds of the samples and of the names; the rest is held out."""
+    n, t = read(data, "name_parts"), read(data, "lang_samples")
+    told, kept = n[n.part_id % 3 > 0], n[n.part_id % 3 == 0]
+    crf, tokens = pii.trained(list(zip(told.name_part, told.kind, told.script, strict=True)), list(zip(t.text[t.sample_id % 3 > 0], t.script[t.sample_id % 3 > 0], strict=True)))
+    return crf, tokens, told, kept, t[t.sample_id % 3 == 0]
+
+
+def test_lines_left_out_hold_nothing(field, data):
+    """What the bound leaves out, Viterbi over every token tags O."""
+    crf, tokens, *_ = field
+    lines = [x for t in read(data, "documents").text.dropna() for x in t.split("\n") if x.strip()]
+    feats, length = pii.features(lines, tokens)
+    u = crf.scores(feats)
+    tags, row = crf.viterbi(u, length), np.repeat(np.arange(len(lines)), length)
+    settled = crf.settled(u, length)
+    assert settled.mean() > 0.2 and not tags[settled[row]].any()
+
+
+HELD_OUT = (  # wordings that the training never uses: values stand between words of their own
+    ("Kindly ring {P} once you have arrived in town.", "phone"), ("My new number since Monday is {P}, so delete the old one.", "phone"), ("Complaints may be sent to {E} until Friday.", "email"), ("She asked whether {E} still works.", "email"),
+    ("Deliver the parcels to {A} before noon.", "address"), ("Our branch has shifted to {A} since last year.", "address"), ("The applicant produced Aadhaar {I} at the counter.", "id_number"), ("Copies of passport {J} were attached to the claim.", "id_number"),
+    ("Yesterday {N} sang for us.", "name"), ("The prize went to {N} after a long wait.", "name"), ("According to Dr. {N} the well is safe.", "name"), ("দয়া করে {P} নম্বরে জানান।", "phone"), ("कृपया {P} पर सूचित करें।", "phone"), ("আপনার চিঠি {E} এ পাঠাবেন।", "email"),
+)
+
+
+def test_held_out_wordings(field):
+    crf, tokens, told, kept, _ = field
+    rng = np.random.default_rng(4)
+    latin = [n[n.script == "latin"].name_part.tolist() for n in (told, kept)]
+    pick = lambda xs: xs[int(rng.integers(len(xs)))]
+    form = lambda f: pii.filled(f, "latin", rng, latin[1], ["stone", "hill"])
+    texts, want = [], []
+    for _ in range(20):
+        for sentence, kind in HELD_OUT:
+            value = {"P": lambda: form(pick(pii.PHONES)), "E": lambda: form(pick(pii.MAILS)), "A": lambda: form("".join(pick(x) for x in pii.STREETS["latin"])), "I": lambda: form(pick(("{d4} {d4} {d4}", "{d12}", "{d4}-{d4}-{d4}"))), "J": lambda: form("{u1}{d7}"), "N": lambda: f"{pick(latin[0])} {pick(latin[1])}"}[re.search(r"\{(\w)\}", sentence)[1]]()
+            texts.append(re.sub(r"\{\w\}", lambda m: value, sentence))  # noqa: B023
+            want.append((kind, value))
+    got = [{(k, t[a:b]) for a, b, k in own} for t, own in zip(texts, pii.spans_of(texts, crf, tokens), strict=True)]
+    hit = [w in g for w, g in zip(want, got, strict=True)]
+    by = pd.DataFrame({"kind": [k for k, _ in want], "hit": hit}).groupby("kind").hit.mean()
+    print(by.to_dict(), sum(map(len, got)), len(want))
+    assert np.mean(hit) >= 0.85 and by.min() >= 0.7 and sum(map(len, got)) <= 1.1 * len(want)
+
+
+def test_plain_sentences_hold_nothing(field):
+    crf, tokens, _, _, rest = field
+    got = pii.spans_of(rest.text.tolist(), crf, tokens)
+    assert sum(map(len, got)) <= 0.02 * len(rest)
 
 
 def test_near_texts_of_any_length_share_seeds(spark):
@@ -432,3 +479,23 @@ def test_paragraphs_go_on_over_any_page(spark, data, monkeypatch):
         got[block] = sorted(tuple(map(str, r)) for r in ocr.paragraphs(pages, samples).collect())
     assert got[2] == got[3] == got[512]
     assert len([r for r in got[2] if r[0] == "d"]) == 1 and len([r for r in got[2] if r[0] == "None"]) == 2 and len([r for r in got[2] if r[0] == "e"]) == 2
+
+
+REFUSED = (  # wordings of their own, none of which the training puts together
+    "This isn't a subject I'm comfortable getting into.", "I'm going to leave that question alone.", "My maker has told me not to speak about that.", "There is nothing I may tell you on this.", "I do not possess the knowledge you are asking for.",
+    "You had better ask a doctor about this, not me.", "Apologies, I was not built to reply to such requests.", "আমি এ কথা জানাতে পারছি না, দুঃখিত।", "मुझे खेद है, मैं इसका उत्तर नहीं जानता।", "I really should not be the one to answer your question.",
+)
+SOUND = (
+    "The river rises in the hills and is not deep in winter.", "Nobody could help the farmer, so he sold the cart.", "The teacher refused to answer and went home.", "They do not know who built the tower.", "He was not allowed to open the gate, the guard said.",
+    "The museum has nothing older than this bell.", "Please note that the market opens at six and never closes before nine.", "The clerk declined the request because the form was wrong.", "Without rain the fields give no rice at all.", "A model of the bridge stands outside the hall.",
+)
+
+
+def test_held_out_refusals(spark, data):
+    t = read(data, "lang_samples")
+    crf = pairs.trained(list(zip(t.text, t.language, strict=True)))
+    model = language.fitted(spark.createDataFrame(t))
+    ask = lambda texts: pairs.defects_of(["Describe the town and its people."] * len(texts), [None] * len(texts), list(texts), ["en"] * len(texts), model, crf)
+    refused, sound = ask(REFUSED), ask(SOUND)
+    print(refused, sound)
+    assert sum(x == "refusal" for x in refused) >= 7 and sum(x == "refusal" for x in sound) <= 1
