@@ -396,7 +396,7 @@ def test_held_out_wordings(field):
     got = [{(k, t[a:b]) for a, b, k in own} for t, own in zip(texts, pii.spans_of(texts, crf, tokens), strict=True)]
     hit = [w in g for w, g in zip(want, got, strict=True)]
     by = pd.DataFrame({"kind": [k for k, _ in want], "hit": hit}).groupby("kind").hit.mean()
-    print(by.to_dict(), sum(map(len, got)), len(want))
+    print(by.to_dict(), sum(map(len, got)), len(want), [(t, g) for t, w, g in zip(texts, want, got, strict=True) if w not in g and w[0] in ("id_number", "name")][:14])
     assert np.mean(hit) >= 0.85 and by.min() >= 0.7 and sum(map(len, got)) <= 1.1 * len(want)
 
 
