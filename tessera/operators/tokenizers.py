@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Limits of an acceptable tokenizer, and the weights of the choice.
 LIMITS = {"fertility": 3.5, "unknown_rate": 0.005, "compression": 3.0, "round_trip": 0.95}
 TIERS = ((500 * 1024**2, "v3-final"), (250 * 1024**2, "v2-expanded"), (50 * 1024**2, "v1-pretrain"), (0, "v0-experimental"))
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"  # category Zs
 
 
 def fitness(rows: DataFrame, by: str, vocabulary: int, unknown: int = 0) -> DataFrame:
@@ -72,6 +73,7 @@ def boundary_quality(tokens: Column, words: Column, indic: Column) -> Column:
 
 
 def trainable(df: DataFrame, by: list[str], text: str = "text", rows: int = 100, chars: int = 10_000) -> DataFrame:
-    """Per group, whether there is enough text to train on: so many rows that aren't blank, and so many characters."""
-    full = df.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "")
+    """Per group, whether there is enough text to train on: so many rows that aren't blank, and so many characters.
+    Blank is null, or nothing but spaces of any kind (Zs, as SQL's trim has it; line breaks and tabs are none)."""
+    full = df.where(F.ltrim(F.col(text), F.lit(SPACES)) != "")
     return full.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(F.length(text)).alias("chars")).withColumn("trainable", (F.col("rows") >= rows) & (F.col("chars") >= chars))
